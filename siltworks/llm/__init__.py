@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("tokencounts", "warc", "mixing", "quality")
+MODULES = ("decontaminate", "tokencounts", "warc", "mixing", "minhash", "quality")
 
 
 def queries() -> dict:

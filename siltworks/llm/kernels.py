@@ -15,6 +15,9 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Also the ASCII punctuation, where words are compared without it.
+SPACE_OR_MARK = SPACE.copy()
+SPACE_OR_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 #: Bytes handled at a time; temporaries take about 60 bytes for each.
 SLICE = 1 << 20
 
@@ -85,8 +88,8 @@ def slices(offsets: np.ndarray, limit: int = SLICE):
         i = j
 
 
-def _spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    solid = ~SPACE[data]
+def _spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    solid = ~space[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     before = np.empty(len(data), bool)
@@ -100,26 +103,26 @@ def _spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return start, end
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER_BYTE) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER_BYTE, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words and, by row, where its words begin (one more at the end).
 
     Long rows are cut behind white space, so the memory beside the hashes
     stays near SLICE unless one word is longer than that.
     """
     if len(data) <= 2 * SLICE:
-        start, end = _spans(data, offsets)
+        start, end = _spans(data, offsets, space)
         return span_hash(prefix_hash(table[data]), start, end), np.searchsorted(start, offsets)
     found, at, n = [], [0], 0
     for i, j in zip(offsets[:-1], offsets[1:]):
         while i < j:
             k = j
             if j - i > SLICE:
-                gap = np.flatnonzero(SPACE[data[i + SLICE : j]][: 1 << 16])
+                gap = np.flatnonzero(space[data[i + SLICE : j]][: 1 << 16])
                 if not len(gap):
-                    gap = np.flatnonzero(SPACE[data[i + SLICE : j]])
+                    gap = np.flatnonzero(space[data[i + SLICE : j]])
                 k = i + SLICE + int(gap[0]) if len(gap) else j
             piece = data[i:k]
-            start, end = _spans(piece, np.array([0, k - i]))
+            start, end = _spans(piece, np.array([0, k - i]), space)
             found.append(span_hash(prefix_hash(table[piece]), start, end))
             n += len(start)
             i = k
