@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontaminate", "tokencounts", "warc", "mixing", "minhash", "quality")
+MODULES = ("decontaminate", "tokencounts", "warc", "mixing", "substrings", "minhash", "quality")
 
 
 def queries() -> dict:
