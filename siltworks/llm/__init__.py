@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontaminate", "licenses", "tokencounts", "warc", "mixing", "substrings", "minhash", "secretscan", "quality")
+MODULES = ("decontaminate", "licenses", "tokencounts", "warc", "mixing", "substrings", "minhash", "secretscan", "chat", "quality")
 
 
 def queries() -> dict:
