@@ -55,7 +55,7 @@ def targets(sizes: DataFrame, cycle=CYCLE, epochs: float = 1.5, most: float = 2.
         .withColumn("weight_from", F.sum("weight").over(fill.rowsBetween(0, W.Window.unboundedFollowing)))
         .withColumn("level", (F.col("total") - F.col("caps_before")) / F.col("weight_from"))
         .withColumn("full", F.col("cap") <= F.col("level") * F.col("weight"))
-        .withColumn("at", F.min(F.when(~F.col("full"), F.col("level"))).over(everything))
+        .withColumn("at", F.max(F.when(~F.col("full"), F.col("level"))).over(everything))
     )
     return s.select("source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(F.col("weight") * F.col("at")).alias("target"))
 
@@ -170,7 +170,7 @@ sized AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM base GROU
 weighed AS (SELECT *, CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS BIGINT) AS weight, source_size * 2.0::DOUBLE AS cap FROM sized),
 levels AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / CAST(sum(weight) OVER (ORDER BY cap / weight, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level FROM weighed),
-marked AS (SELECT *, min(CASE WHEN cap > level * weight THEN level END) OVER () AS common FROM levels),
+marked AS (SELECT *, max(CASE WHEN cap > level * weight THEN level END) OVER () AS common FROM levels),
 plan AS (SELECT source, source_size, CASE WHEN cap <= level * weight THEN cap ELSE weight * common END AS target FROM marked),
 rounded AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS rounds FROM plan),
 need0 AS (SELECT source, target - rounds * source_size AS need FROM rounded),{_fill_sql(0)}{_fill_sql(1)}{_fill_sql(2)}
