@@ -9,12 +9,16 @@
     soon as its slots are full (early stopping).
 3.  ``BANDS`` bands of ``ROWS`` slots make buckets.  A pair at 0.8 shares no
     bucket with probability (1 - 0.8**5)**32 = 3e-6.
-4.  Links are confirmed on whole shingle sets, rebuilt from the texts.  In a
-    bucket every class is first compared with the least one.  Buckets that
-    then hold several components are worked off by more leaders, up to
-    ``LEADERS`` a bucket and round, until every pair of a bucket that lies in
-    two components has been compared.  Nothing is capped and no bucket emits
-    all its pairs.
+4.  In a bucket every class is first compared with the least one.  Buckets
+    that then still hold several components are worked through whole, each a
+    group of rows with the texts: a pair of two components is compared in the
+    first bucket it shares, so in one place only, and only links leave the
+    task.  A bucket of more than ``CHUNK`` classes is dealt out as pairs of its
+    chunks.  Nothing is capped, and no table of pairs arises.
+    Before texts are read, sizes and signatures must allow the link: signatures
+    are compared by four bits a slot; a pair at 0.8 differs in 30 of 160 and in
+    more than ``DIFFERENT`` with probability 1e-7.  Links are confirmed on
+    whole shingle sets, rebuilt from the texts.
 5.  Components come from the verified links by large and small stars.
 """
 
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -34,7 +38,9 @@ from .workspace import Workspace
 
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
-LEADERS = 64
+#: Classes of a bucket that a task holds at a time, twice.
+CHUNK = 4096
+DIFFERENT = 57
 U = np.uint64
 _STEPS = np.arange(1 << 12, dtype=U) * U(K.BASE)
 _WEIGHTS = [U(pow(K.BASE, 7 * k + 3, 1 << 64)) for k in range(64)]
@@ -115,6 +121,22 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
     return key
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """Four bits of every slot, 16 slots in a 64-bit number."""
+    nibbles = (K.mix(sig.copy()) & U(15)).reshape(len(sig), -1, 16)
+    return (nibbles << (np.arange(16, dtype=U) * U(4))).sum(axis=2, dtype=U)
+
+
+def different(a: Column, b: Column, slots: int = SLOTS) -> Column:
+    """In how many slots two sketches differ."""
+    out = F.lit(0)
+    for k in range(slots // 16):
+        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
+        out = out + F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
+    return out
+
+
 def _digests(sets: list[np.ndarray]) -> list[bytes]:
     out = []
     for s in sets:
@@ -125,7 +147,7 @@ def _digests(sets: list[np.ndarray]) -> list[bytes]:
 
 
 def signatures(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """(key, node binary, n_shingles, bands, body): body is the zstd text; sets of no shingle have null bands."""
+    """(key, node binary, n_shingles, bands, sketch, body): body is the zstd text; sets of no shingle have null bands."""
     kind = docs.schema[key].dataType.simpleString()
     picked = docs.select(F.col(key).alias("key"), F.col(text).cast("string"))
 
@@ -138,12 +160,14 @@ def signatures(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 part = data[offsets[i] : offsets[j]]
                 sets = shingle_sets(part, own, width)
                 n = np.array([len(s) for s in sets])
-                keys = band_keys(superminhash(sets)).view(np.int64)
+                sig = superminhash(sets)
+                keys, low = band_keys(sig).view(np.int64), sketches(sig).view(np.int64)
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(0, low.size + 1, SLOTS // 16, dtype=np.int32)), pa.array(low.reshape(-1)))
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.reshape(-1)), mask=pa.array(n == 0))
                 body = [pack.compress(part[p:q].tobytes()) for p, q in zip(own[:-1], own[1:])]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(_digests(sets), pa.binary()), pa.array(n), bands, pa.array(body, pa.binary())], ["key", "node", "n_shingles", "bands", "body"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(_digests(sets), pa.binary()), pa.array(n), bands, sketch, pa.array(body, pa.binary())], ["key", "node", "n_shingles", "bands", "sketch", "body"])
 
-    return picked.mapInArrow(run, f"key {kind}, node binary, n_shingles bigint, bands array<bigint>, body binary")
+    return picked.mapInArrow(run, f"key {kind}, node binary, n_shingles bigint, bands array<bigint>, sketch array<bigint>, body binary")
 
 
 def verify(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) -> DataFrame:
@@ -184,47 +208,124 @@ def verify(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) -> Dat
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _bodies(ws: Workspace, sig: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, body), one text for each class that shares a bucket with another."""
-    return ws.save(sig.join(members.select("node").distinct(), "node").groupBy("node").agg(F.min_by("body", F.struct(F.length("body"), "body")).alias("body")), "bodies", "none")
-
-
 def _links(ws: Workspace, sig: DataFrame, width: int, percent: int) -> DataFrame | None:
     """Roots (node, root) of classes linked with another class, or None if no class shares a bucket."""
-    rows = sig.where("bands IS NOT NULL").groupBy("node", "n_shingles").agg(F.first("bands").alias("bands")).select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    rows = sig.where("bands IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1").drop("size")
     members = ws.save(rows.join(shared, "bucket"), "members")
     if members.isEmpty():
         return None
-    bodies = _bodies(ws, sig, members)
-    near = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")  # else the union is too large whatever is shared
-    size = members.select(F.col("node").alias("leader"), F.col("n").alias("m")).distinct()
-    star = members.where("node <> leader").select("node", "n", "leader").distinct().join(size, "leader").where(near)
-    tested = ws.save(star.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "pairs-0")
-    links = ws.save(verify(tested, bodies, width, percent), "links-0")
-    # members of small buckets of one component need no more; others get leaders until all is compared
-    done = members.select("bucket", F.col("leader").alias("node")).distinct()
-    k = 0
-    while True:
-        roots = ws.save(components(ws, links, f"stars-{k}"), f"roots-{k}")
-        k += 1
-        of = members.join(roots, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-        # of two components one lies outside the bucket's largest, so its members need not lead
-        largest = of.groupBy("bucket", "root").agg(F.count("*").alias("c")).groupBy("bucket").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("c", "root")).alias("largest")).where("roots > 1")
-        of = ws.save(of.join(largest.drop("roots"), "bucket"), f"mixed-{k}")
-        # a leader is the least untested node of one of LEADERS parts of a bucket
-        new = of.where("root <> largest").join(done, ["bucket", "node"], "left_anti")
-        new = new.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("part")).agg(F.min(F.struct("node", F.col("n").alias("m"), "root")).alias("x"))
-        new = ws.save(new.select("bucket", F.col("x.node").alias("leader"), F.col("x.m").alias("m"), F.col("x.root").alias("home")), f"leaders-{k}")
-        pairs = of.join(new, "bucket").where((F.col("root") != F.col("home")) & near)
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        pairs = ws.save(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{k}")
-        if new.isEmpty():
-            return roots
-        done = done.unionByName(new.select("bucket", F.col("leader").alias("node")))
-        if not pairs.isEmpty():
-            tested = tested.unionByName(pairs)
-            links = links.unionByName(ws.save(verify(pairs, bodies, width, percent), f"links-{k}"))
+    nodes = members.select("node").distinct()
+    known = sig.join(nodes, "node").groupBy("node", F.col("n_shingles").alias("n"))
+    known = ws.save(known.agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min_by("body", F.struct(F.length("body"), "body")).alias("body")), "bodies", "none")
+    of_node = known.select("node", "n", "sketch")
+    of_leader = of_node.select(F.col("node").alias("leader"), F.col("n").alias("m"), F.col("sketch").alias("other"))
+    # too different in size: the union is too large whatever is shared
+    near = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (different(F.col("sketch"), F.col("other")) <= DIFFERENT)
+    star = members.where("node <> leader").select("node", "leader").distinct().join(of_node, "node").join(of_leader, "leader").where(near)
+    star = ws.save(star.select(F.col("leader").alias("a"), F.col("node").alias("b")), "star")
+    links = ws.save(verify(star, known.select("node", "body"), width, percent), "links")
+    roots = ws.save(components(ws, links, "stars"), "roots")
+    of = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    mixed = of.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
+    rows = of.join(mixed, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "with"), "j": F.greatest("chunk", "with")}).join(known, "node")
+    rows = rows.select("bucket", "i", "j", "node", "root", "chunk", "n", "bands", "sketch", "body").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+    more = ws.save(rows.mapInArrow(_bucket_links(width, percent), "a binary, b binary"), "more")
+    if more.isEmpty():
+        return roots
+    return ws.save(components(ws, links.unionByName(more), "stars-all"), "roots-all")
+
+
+def _bucket_links(width: int, percent: int):
+    """Links between components inside each bucket of a sorted stream of rows."""
+
+    def group(t: pa.Table, unpack) -> list[tuple[bytes, bytes]]:
+        bucket, node, chunk = t.column("bucket")[0].as_py(), t.column("node").to_pylist(), t.column("chunk").to_numpy()
+        n = t.column("n").to_numpy()
+        keys = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        sketch = t.column("sketch").combine_chunks().flatten().to_numpy().view(U).reshape(len(node), -1)
+        code: dict[bytes, int] = {}
+        root = np.array([code.setdefault(x, len(code)) for x in t.column("root").to_pylist()])
+        if len(code) < 2:
+            return []
+        band = int((keys[0] == bucket).argmax())  # the bucket's own; an earlier shared one has done the pair
+        cross = t.column("i")[0].as_py() != t.column("j")[0].as_py()
+        pairs = []
+        for k in range(len(node) - 1):
+            ok = (root[k + 1 :] != root[k]) & (100 * np.minimum(n[k + 1 :], n[k]) >= percent * np.maximum(n[k + 1 :], n[k]))
+            if cross:
+                ok &= chunk[k + 1 :] != chunk[k]
+            at = k + 1 + np.flatnonzero(ok)
+            if not len(at):
+                continue
+            at = at[~(keys[at, :band] == keys[k, :band]).any(axis=1)]
+            x = sketch[at] ^ sketch[k]
+            x |= x >> U(1)
+            x |= x >> U(2)
+            gap = np.bitwise_count(x & U(0x1111111111111111)).sum(axis=1)
+            near = gap <= DIFFERENT
+            pairs += zip(gap[near].tolist(), [k] * int(near.sum()), at[near].tolist())
+        if not pairs:
+            return []
+        pairs.sort()
+        need = sorted({x for _, *p in pairs for x in p})
+        body = t.column("body").take(pa.array(need)).to_pylist()
+        texts = [unpack.decompress(x) for x in body]
+        offsets = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum([len(x) for x in texts], out=offsets[1:])
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        sets: dict[int, np.ndarray] = {}
+        for i, j in K.slices(offsets):
+            sets.update(zip(need[i:j], shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)))
+        parent = list(range(len(code)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out = []
+        for _, k, m in pairs:
+            p, q = find(root[k]), find(root[m])
+            if p != q:
+                s, u = sets[k], sets[m]
+                common = len(np.intersect1d(s, u, assume_unique=True))
+                if 100 * common >= percent * (len(s) + len(u) - common):
+                    parent[q] = p
+                    out.append((node[k], node[m]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def flush() -> list[tuple[bytes, bytes]]:
+            out = group(pa.Table.from_batches(held), unpack) if held else []
+            held.clear()
+            return out
+
+        for b in batches:
+            key = np.stack([b.column(k).to_numpy() for k in range(3)], 1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), b.num_rows]
+            found = []
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                if last is not None and tuple(key[i]) != last:
+                    found += flush()
+                last = tuple(key[i])
+                held.append(b.slice(i, j - i))
+            if found:
+                yield _edges(found)
+        if found := flush():
+            yield _edges(found)
+
+    return run
+
+
+def _edges(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
