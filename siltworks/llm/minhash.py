@@ -356,10 +356,23 @@ def op7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=4)
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group, the one with the least key, with all its columns.
+
+    Rows are told apart by their place in the scan, so repeated and null keys
+    lose no text: a null key comes after all others.  docs is a scan of files,
+    which numbers its rows alike each time.
+    """
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("__row").alias("row"))
+    near = near_duplicates(numbered.select(order.alias("order"), F.col(text).alias("text")), "order", "text", width, percent)
+    keep = near.where("kept").select(F.col("order.row").alias("__keep"))
+    return numbered.join(keep, F.col("__row") == F.col("__keep"), "left_semi").drop("__row")
+
+
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, 0.8), the one with the least doc_id."""
-    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["__kept"])).dropDuplicates(["doc_id"]).select(*docs.columns)
+    return keep_one(docs)
 
 
 QUERIES = {"op7_near_duplicates": op7_near}

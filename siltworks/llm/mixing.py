@@ -140,10 +140,16 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mixed corpus: each document as often as the mix takes it, with the number of the copy."""
-    plan = mix(docs)
-    plan = plan.select(F.col("doc_id").alias("of"), F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int").alias("copies"), "size", "target").dropDuplicates(["of"])
-    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["of"])).where(F.col("copies") > 0).drop("of")
+    """The documents that the mix takes, with how often (copies), their size and their source's target.
+
+    A document that the mix takes twice is one row with two copies.  Columns of
+    docs that already have such a name stay, and the new one gets a prefix.
+    """
+    plan = mix(docs).where("taken > 0").select(F.col("doc_id").alias("__of"), (F.col("taken") / F.col("size")).cast("int").alias("copies"), "size", "target").dropDuplicates(["__of", "size"])
+    names = {c: c if c not in docs.columns else f"mix_{c}" for c in ("copies", "size", "target")}
+    plan = plan.withColumnsRenamed(names)
+    same = docs["doc_id"].eqNullSafe(plan["__of"]) & (word_count(docs["text"]) == plan[names["size"]])
+    return docs.join(plan, same).drop("__of")
 
 
 def _fill_sql(k: int) -> str:

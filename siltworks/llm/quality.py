@@ -193,10 +193,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(spark.read.parquet(f"{sf_dir}/documents.parquet"), _crf(spark, sf_dir))
 
 
+def keep_good(docs: DataFrame, crf: LineCrf, text: str = "text", share: float = MIN_CONTENT_SHARE) -> DataFrame:
+    """The documents that `assess` keeps, with all their columns, whatever their names."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                yield part.filter(pa.array([judge(t, crf, share)[-1] for t in part.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the CRF keep."""
-    names = docs.columns
-    return assess(docs, _crf(spark, sf_dir), keep=tuple(names)).where("kept").select(*names)
+    return keep_good(docs, _crf(spark, sf_dir))
 
 
 QUERIES = {"op10_quality_rules": op10_quality}

@@ -281,7 +281,7 @@ def redact(docs: DataFrame, forest: Forest | None = None, text: str = "text", pa
                 b = whole.slice(begin, 256)
                 out, changed = [], []
                 for t, p in zip(b.column(at).to_pylist(), b.column(of).to_pylist() if of is not None else [None] * b.num_rows):
-                    hits = [f for f in judged(t, p, forest) if f[-1]]
+                    hits = [f for f in judged(t, None if p is None else str(p), forest) if f[-1]]
                     changed.append(bool(hits))
                     for s, e, *_ in reversed(hits):
                         t = t[:s] + MASK + t[e:]
