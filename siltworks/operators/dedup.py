@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing as H
@@ -19,20 +21,40 @@ def exact_duplicates(df: DataFrame, key: str = "text_sha256", seq: str = "seq",
     return df.join(firsts, F.col(key) == F.col("__key"), "left").withColumn(out, F.coalesce(F.col(seq) > F.col("first"), F.lit(False))).drop("__key", "first")
 
 
-def near_duplicates(prints: DataFrame, threshold: int = 3, bands: int = 4, seq: str = "seq", fp: str = "fp") -> DataFrame:
+def block_keys(fp: Column, threshold: int, match: int) -> Column:
+    """array<bigint> of keys, equal in at least one place for fingerprints within the threshold.
+
+    The 64 bits fall into threshold + match blocks.  Bits that differ touch at
+    most threshold of them, so `match` blocks agree; every choice of so many
+    blocks makes a key.  match 1 gives few short keys, 2 or 3 more and longer
+    ones, with fewer chance meetings: N fingerprints meet about
+    N * N / 2 ** (64 * match / (threshold + match)) times a key.
+    """
+    n = threshold + match
+    cuts = [64 * k // n for k in range(n + 1)]
+    out = []
+    for chosen in combinations(range(n), match):
+        mask = sum(((1 << (cuts[k + 1] - cuts[k])) - 1) << cuts[k] for k in chosen)
+        mask -= (1 << 64) if mask >> 63 else 0
+        out.append(fp.bitwiseAND(F.lit(mask).cast("bigint")))
+    return F.array(*out)
+
+
+def near_duplicates(prints: DataFrame, threshold: int = 3, bands: int = 4, seq: str = "seq", fp: str = "fp", match: int = 2) -> DataFrame:
     """(seq) of rows within `threshold` bits of an earlier row's fingerprint.
 
     Every row that was looked at counts as earlier, duplicates too, so the
-    sequential rule is this declarative one.  Equal fingerprints are one row of
-    the band join, which keeps it free of hot copies; two fingerprints within
-    the threshold share a band, as there are more bands than differing bits.
+    sequential rule is this declarative one, and the keys only serve to find
+    the pairs: threshold and bands are checked as a configuration of the rule,
+    `match` (see block_keys) should grow with the number of rows.  Equal
+    fingerprints are one row of the join, which keeps it free of hot copies.
     """
     H.check_bands(threshold, bands)
     rows = prints.select(F.col(seq).alias("seq"), F.col(fp).alias("fp"))
     least = rows.groupBy("fp").agg(F.min("seq").alias("first"))
-    banded = least.select("fp", "first", F.posexplode(H.band_values(F.col("fp"), bands)).alias("band", "value"))
-    a, b = banded.alias("a"), banded.alias("b")
-    close = (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value")) & (F.col("b.first") < F.col("a.first")) & (F.col("a.fp") != F.col("b.fp")) & (H.hamming(F.col("a.fp"), F.col("b.fp")) <= threshold)
+    keyed = least.select("fp", "first", F.posexplode(block_keys(F.col("fp"), threshold, match)).alias("place", "key"))
+    a, b = keyed.alias("a"), keyed.alias("b")
+    close = (F.col("a.place") == F.col("b.place")) & (F.col("a.key") == F.col("b.key")) & (F.col("b.first") < F.col("a.first")) & (H.hamming(F.col("a.fp"), F.col("b.fp")) <= threshold)
     near = a.join(b, close, "left_semi").select("fp").distinct().withColumn("near", F.lit(True))
     flagged = rows.join(least, "fp").join(near, "fp", "left")
     return flagged.where((F.col("seq") > F.col("first")) | F.col("near")).select("seq")

@@ -46,10 +46,22 @@ def allocate(weights: Mapping[str, float], total: int) -> dict[str, int]:
     return out
 
 
-def _least(df: DataFrame, group: list[str], order: list[Column], limit: Column) -> DataFrame:
-    """The rows of each group that come first, as many as the group's limit."""
-    rank = F.row_number().over(W.Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("__rank", rank).where(F.col("__rank") <= limit).drop("__rank")
+def least_keys(df: DataFrame, group: list[str], limit: str, key: str = "key", tie: str = "id") -> DataFrame:
+    """The rows of each group with the least (key, tie), as many as the column `limit` says.
+
+    Keys are hexadecimal hashes, so their first digits deal a group of any size
+    into even buckets.  Counts by bucket tell which are in as a whole; only the
+    bucket in which the limit falls is ranked.
+    """
+    rows = df.withColumn("__b", F.substring(key, 1, 4))
+    counts = rows.groupBy(*group, "__b").agg(F.count("*").alias("__n"), F.max(limit).alias("__limit"))
+    upto = F.sum("__n").over(W.Window.partitionBy(*group).orderBy("__b").rowsBetween(W.Window.unboundedPreceding, 0))
+    counts = counts.withColumn("__upto", upto).withColumn("__before", F.col("__upto") - F.col("__n")).where(F.col("__before") < F.col("__limit"))
+    known = rows.join(counts.drop("__n"), [*group, "__b"])
+    inside = known.where(F.col("__upto") <= F.col("__limit"))
+    edge = known.where(F.col("__upto") > F.col("__limit")).withColumn("__rank", F.row_number().over(W.Window.partitionBy(*group, "__b").orderBy(key, tie)))
+    edge = edge.where(F.col("__rank") <= F.col("__limit") - F.col("__before")).drop("__rank")
+    return inside.unionByName(edge).drop("__b", "__limit", "__upto", "__before")
 
 
 def select_mixed(samples: DataFrame, shares: DataFrame, seed: str, *, id_col: str = "id", source: str = "source", method: str = "md5", check: bool = True) -> DataFrame:
@@ -63,7 +75,7 @@ def select_mixed(samples: DataFrame, shares: DataFrame, seed: str, *, id_col: st
     q = shares.select(F.col(source).cast("string").alias("of"), F.col("quota"))
     own = s.join(q, F.col("source") == F.col("of")).drop("of")
     own = own.withColumn("key", stable_key(F.col("id"), F.concat(F.lit(f"{seed}:"), F.col("source")), method))
-    taken = _least(own, ["source"], [F.col("key"), F.col("id")], F.col("quota"))
+    taken = least_keys(own, ["source"], "quota")
     if check:
         have = s.groupBy("source").agg(F.count("*").alias("n")).withColumnRenamed("source", "has")
         short = q.join(have, F.col("of") == F.col("has"), "left").where((F.col("quota") < 0) | (F.coalesce("n", F.lit(0)) < F.col("quota")))
@@ -100,7 +112,8 @@ def prefix_context_mix(samples: DataFrame, targets: Mapping[str, int], seed: str
         may = ids.where(F.col("bucket").isin(*buckets) if buckets else F.lit(False)).select("id").distinct()
         if out is not None:
             may = may.join(out.select("id"), "id", "left_anti")
-        got = may.withColumn("key", stable_key(F.col("id"), f"{seed}:{name}", method)).orderBy("key", "id").limit(n).select("id", F.lit(name).alias("final"))
+        keyed = may.select("id", F.lit(n).alias("limit"), F.lit(name).alias("final"), stable_key(F.col("id"), f"{seed}:{name}", method).alias("key"))
+        got = least_keys(keyed, ["final"], "limit").select("id", "final")
         if check and (have := got.count()) < n:
             raise ValueError(f"{name} needs {n} and has {have}")
         out = got if out is None else out.unionByName(got)

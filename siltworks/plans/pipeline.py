@@ -23,7 +23,7 @@ from ..sources.readers import adapt
 
 DEFAULTS = {
     "min_chars": V.MIN_CHARS, "max_chars": V.MAX_CHARS, "require_license": False, "sensitive_terms": (), "near_dedup": False, "near_dedup_threshold": 3, "near_dedup_bands": 4,
-    "near_dedup_ngram": 5, "context_lengths": V.CONTEXT_LENGTHS, "code_denied_path_parts": V.DENIED_PATH_PARTS, "web_boilerplate_limit": 4, "quality_policies": None, "token_estimator": None,
+    "near_dedup_ngram": 5, "near_dedup_match": 2, "context_lengths": V.CONTEXT_LENGTHS, "code_denied_path_parts": V.DENIED_PATH_PARTS, "web_boilerplate_limit": 4, "quality_policies": None, "token_estimator": None,
 }
 
 
@@ -94,7 +94,7 @@ class Pipeline:
         row.effects.step(S.SUFFIX[2])
         if config["near_dedup"]:
             prints = df.where("stop_step IS NULL").select("seq", H.simhash64(F.col("text_out"), config["near_dedup_ngram"]).alias("fp"))
-            near = dedup.near_duplicates(prints, config["near_dedup_threshold"], config["near_dedup_bands"]).select(F.col("seq").alias("__near"))
+            near = dedup.near_duplicates(prints, config["near_dedup_threshold"], config["near_dedup_bands"], match=config["near_dedup_match"]).select(F.col("seq").alias("__near"))
             df = cut(df.join(near, F.col("seq") == F.col("__near"), "left"), F.col("__near").isNotNull(), "near_duplicate")
         return df
 
@@ -145,6 +145,17 @@ def build_pipeline(category: str, config: dict | None = None) -> Pipeline:
     return Pipeline(category, dict(config or {}))
 
 
+def read_config(path: str) -> dict:
+    """A JSON or YAML file as a configuration; a missing file is an error."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if path.endswith((".yaml", ".yml")):
+        import yaml
+
+        return yaml.safe_load(text) or {}
+    return json.loads(text) if text.strip() else {}
+
+
 def load_config(cleaning: dict | None = None, override: dict | None = None) -> dict:
     """A cleaning configuration with the quality policies of another: as they are, or wrapped.
 

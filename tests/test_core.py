@@ -371,3 +371,36 @@ def test_streams(spark, tmp_path):
     q = stream().writeStream.foreachBatch(near.handler).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(180)
     assert sum(x for _, x in out) == 2 and len(out) == 4
+
+
+def test_near_duplicates_by_longer_keys(spark):
+    r = random.Random(9)
+    prints = [r.getrandbits(63) for _ in range(40)]
+    for _ in range(160):
+        x = r.choice(prints)
+        for _ in range(r.randint(0, 5)):
+            x ^= 1 << r.randint(0, 62)
+        prints.append(x)
+    want = {k for k, x in enumerate(prints) if any((x ^ y).bit_count() <= 3 for y in prints[:k])}
+    df = spark.createDataFrame(list(enumerate(prints)), "seq bigint, fp bigint")
+    for match in (1, 3):
+        assert {x.seq for x in dedup.near_duplicates(df, match=match).collect()} == want
+
+
+def test_least_keys_is_an_exact_top(spark):
+    r = random.Random(4)
+    rows = [(f"{k}", r.choice("ab"), f"{r.getrandbits(20):05x}{'0' * 27}") for k in range(900)]
+    df = spark.createDataFrame(rows, "id string, source string, key string").withColumn("n", F.when(F.col("source") == "a", 37).otherwise(0))
+    got = {x.id for x in mixture.least_keys(df, ["source"], "n").collect()}
+    assert got == {i for i, _, k in sorted((x for x in rows if x[1] == "a"), key=lambda x: (x[2], x[0]))[:37]}
+
+
+def test_zstd_and_config(spark, tmp_path):
+    import zstandard
+
+    (tmp_path / "a.jsonl.zst").write_bytes(zstandard.compress(b'{"text": "from zstd"}\n'))
+    assert readers.read_jsonl_lenient(spark, str(tmp_path / "a.jsonl.zst")).first().text == "from zstd"
+    (tmp_path / "c.json").write_text('{"web": {"keep_min": 1}}')
+    assert P.load_config(None, P.read_config(str(tmp_path / "c.json"))) == {"quality_policies": {"web": {"keep_min": 1}}}
+    with pytest.raises(FileNotFoundError):
+        P.read_config(str(tmp_path / "none.json"))
