@@ -3,9 +3,10 @@
 1.  Test items are cut into passages of at most ``PASSAGE`` words, half
     overlapping, and every trigram of a passage is a possible seed.
 2.  One pass over the corpus counts in how many documents each possible seed
-    stands.  Of every ``RUN`` neighbouring trigrams the rarest becomes a seed,
-    so any exact run of ``RUN + 2`` words of a passage holds one, however
-    common its words are; no seed is dropped for being frequent.
+    stands.  Trigrams in at most ``RARE_SHARE`` of the documents (or in
+    ``RARE_LEAST``) are seeds, and of every ``RUN`` neighbours the rarest is one
+    whatever its count, so any exact run of ``RUN + 2`` words of a passage
+    holds a seed, however common its words are.
 3.  A second pass joins the documents' trigrams to the seeds, lays a window
     around each place where a passage may start, and aligns all windows of a
     slice together (match 2, mismatch -1, gap -1).  The score as a share of the
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .workspace import ship
 
-PASSAGE, RUN, GRAM = 64, 6, 3
+PASSAGE, RUN, GRAM = 64, 3, 3
+RARE_SHARE, RARE_LEAST = 0.0005, 20
 BLOCK_WORDS = 100_000
 #: Least similarity of a leak.
 SIMILARITY = 0.4
@@ -75,12 +77,13 @@ class Block:
         self.table = np.zeros(1 << 16, bool)
         self.table[(self.hash >> U(48)).astype(np.int64)] = True
 
-    def choose(self, count: np.ndarray) -> Block:
-        """Keep the rarest gram of every RUN neighbours; count is aligned with self.all."""
+    def choose(self, count: np.ndarray, docs: int) -> Block:
+        """Keep rare grams and the rarest of every RUN neighbours; count is aligned with self.all."""
         h, p, q = [], [], []
+        rare = max(RARE_LEAST, RARE_SHARE * docs)
         for n, g in enumerate(self.grams):
             c = count[np.searchsorted(self.all, g)]
-            kept = {k + int(np.argmin(c[k : k + RUN])) for k in range(max(1, len(g) - RUN + 1))}
+            kept = {k + int(np.argmin(c[k : k + RUN])) for k in range(max(1, len(g) - RUN + 1))} | set(np.flatnonzero(c <= rare).tolist())
             for k in sorted(kept):
                 h.append(g[k]), p.append(n), q.append(k)
         order = np.argsort(np.array(h, U), kind="stable")
@@ -170,7 +173,9 @@ def _counted(docs: DataFrame, text: str, block: Block) -> Block:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(block.all), np.int64)
+        rows = 0
         for b in batches:
+            rows += b.num_rows
             for _, _, words, at in _slices(b.column(0)):
                 if not len(block.all):
                     continue
@@ -182,13 +187,13 @@ def _counted(docs: DataFrame, text: str, block: Block) -> Block:
                 pair = np.unique(row[ok] * len(block.all) + seed)
                 total += np.bincount(pair % len(block.all), minlength=len(block.all))
         k = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(total[k])], ["seed", "docs"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(k, -1)), pa.array(np.append(total[k], rows))], ["seed", "docs"])
 
     sums = docs.select(F.col(text).cast("string")).mapInArrow(run, "seed bigint, docs bigint").groupBy("seed").agg(F.sum("docs").alias("docs"))
-    count = np.zeros(len(block.all), np.int64)
-    for r in sums.collect():  # at most one row for each gram of the block
+    count = np.zeros(len(block.all) + 1, np.int64)
+    for r in sums.collect():  # at most one row for each gram of the block; -1 counts the documents
         count[r.seed] = r.docs
-    return block.choose(count)
+    return block.choose(count[:-1], int(count[-1]))
 
 
 def blocks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", words: int = BLOCK_WORDS) -> Iterator[Block]:
