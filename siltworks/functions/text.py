@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import values as V
+from .hashing import fingerprint
 
 _control = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 _blanks = re.compile(r"[\t\f\v ]+")
@@ -20,8 +21,11 @@ _gaps = re.compile(r"\n{3,}")
 
 def clean(text: str) -> str:
     """Line ends to LF, NFKC, no control characters, single blanks, stripped lines, one empty line at most."""
-    text = _control.sub("", unicodedata.normalize("NFKC", text.replace("\r\n", "\n").replace("\r", "\n")))
-    return _gaps.sub("\n\n", "\n".join(_blanks.sub(" ", x).strip() for x in text.split("\n"))).strip()
+    if "\r" in text:
+        text = text.replace("\r\n", "\n").replace("\r", "\n")
+    text = _blanks.sub(" ", _control.sub("", unicodedata.normalize("NFKC", text)))
+    text = "\n".join(map(str.strip, text.split("\n")))
+    return (_gaps.sub("\n\n", text) if "\n\n\n" in text else text).strip()
 
 
 @F.pandas_udf(T.StringType())
@@ -42,7 +46,16 @@ def normalize_parts(s: pd.Series) -> pd.Series:
     return s.map(lambda xs: None if xs is None else [None if x is None else clean(x) for x in xs])
 
 
-_KERNEL = T.StructType([T.StructField("parts", T.ArrayType(T.StringType())), T.StructField("text", T.StringType()), T.StructField("text_sha256", T.StringType())])
+_KERNEL = T.StructType([T.StructField("parts", T.ArrayType(T.StringType())), T.StructField("text", T.StringType()), T.StructField("text_sha256", T.StringType()), T.StructField("fp", T.LongType())])
+
+
+def _kernel(xs, width: int) -> tuple:
+    parts = [None if x is None else clean(x) for x in xs]
+    text = "\n".join(x for x in parts if x)
+    # cleaning once more changes something only where control characters have gone
+    whole = clean(text) if any(x is not None and _control.search(x) for x in xs) else text
+    digest = hashlib.sha256(whole.casefold().encode("utf-8", "surrogatepass")).hexdigest()
+    return parts, text, digest, fingerprint(text, width) if width else None
 
 
 @F.pandas_udf(_KERNEL)
@@ -51,12 +64,17 @@ def text_kernel(s: pd.Series) -> pd.DataFrame:
 
     The hash is SHA-256 of the folded text after it is cleaned once more as a whole.
     """
-    rows = []
-    for xs in s:
-        parts = [None if x is None else clean(x) for x in xs]
-        text = "\n".join(x for x in parts if x)
-        rows.append((parts, text, hashlib.sha256(clean(text).casefold().encode("utf-8", "surrogatepass")).hexdigest()))
-    return pd.DataFrame(rows, columns=["parts", "text", "text_sha256"])
+    return pd.DataFrame([_kernel(xs, 0) for xs in s], columns=_KERNEL.names).astype({"fp": "Int64"})
+
+
+def text_kernel_with_print(width: int):
+    """text_kernel that also takes the SimHash fingerprint of word n-grams of this width."""
+
+    @F.pandas_udf(_KERNEL)
+    def run(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_kernel(xs, max(1, width)) for xs in s], columns=_KERNEL.names)
+
+    return run
 
 
 def simple_fold(c: Column) -> Column:
@@ -69,10 +87,12 @@ def strip_py(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+", ""), r"(?U)[\s\x1c-\x1f]+$", "")
 
 
+_LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085\u2028\u2029])"
+
+
 def lines(c: Column) -> Column:
     """The lines of a text, without an empty one after the last line end; empty text has none."""
-    parts = F.split(c, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085  ]", -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
+    return F.when(F.length(c) == 0, F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, _LINE_END + r"\z", ""), _LINE_END, -1))
 
 
 def join_fields(*parts: Column) -> Column:
@@ -82,8 +102,10 @@ def join_fields(*parts: Column) -> Column:
 
 def distinct_line_ratio(c: Column) -> Column:
     """Distinct share of the non-blank lines; null without any."""
-    kept = F.filter(lines(c), lambda x: F.length(strip_py(x)) > 0)
-    return F.when(F.size(kept) > 0, F.size(F.array_distinct(kept)) / F.size(kept).cast("double"))
+    kept = F.filter(lines(c), lambda x: F.rlike(x, F.lit(r"(?U)[^\s\x1c-\x1f]")))
+    # an array of one binds the lines to a name, so that they are made once
+    share = F.transform(F.filter(F.array(kept), lambda k: F.size(k) > 0), lambda k: F.size(F.array_distinct(k)) / F.size(k).cast("double"))
+    return F.get(share, F.lit(0))
 
 
 def estimated_tokens(c: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import window as W
 from ..functions import values as V
 from ..functions.hashing import stable_key
 from ..functions.text import context_bucket
-from ..session import ship
+from ..session import Workspace, ship
 
 
 def quotas(weights: DataFrame, total: int, key: str = "source", weight: str = "weight") -> DataFrame:
@@ -99,10 +99,10 @@ def context_order(targets: Mapping[str, int], lengths: Sequence[int] = V.CONTEXT
 def prefix_context_mix(samples: DataFrame, targets: Mapping[str, int], seed: str, *, id_col: str = "id", bucket: str = "bucket", eligible: Mapping[str, Sequence[str]] | None = None, method: str = "md5", check: bool = True) -> DataFrame:
     """(id, final): disjoint samples of each target length, drawn from buckets up to it, shortest first.
 
-    Each target is a plan of its own over the ids not chosen before; ids are
+    Each target is a table of its own, from the ids not chosen before; ids are
     taken once however often they occur.
     """
-    ship(samples.sparkSession)
+    ws = Workspace(samples.sparkSession, "prefix-mix")
     ids = samples.select(F.col(id_col).cast("string").alias("id"), F.col(bucket).alias("bucket"))
     out = None
     for name, buckets in context_order(targets, eligible=eligible):
@@ -113,7 +113,7 @@ def prefix_context_mix(samples: DataFrame, targets: Mapping[str, int], seed: str
         if out is not None:
             may = may.join(out.select("id"), "id", "left_anti")
         keyed = may.select("id", F.lit(n).alias("limit"), F.lit(name).alias("final"), stable_key(F.col("id"), f"{seed}:{name}", method).alias("key"))
-        got = least_keys(keyed, ["final"], "limit").select("id", "final")
+        got = ws.save(least_keys(keyed, ["final"], "limit").select("id", "final"), name)
         if check and (have := got.count()) < n:
             raise ValueError(f"{name} needs {n} and has {have}")
         out = got if out is None else out.unionByName(got)

@@ -12,18 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import hashing as H
 from ..functions import text as X
 from ..functions import values as V
 from ..operators import dedup
 from ..operators import effects as E
 from ..operators import steps as S
-from ..session import ship
+from ..session import Workspace, ship
 from ..sources.readers import adapt
 
 DEFAULTS = {
     "min_chars": V.MIN_CHARS, "max_chars": V.MAX_CHARS, "require_license": False, "sensitive_terms": (), "near_dedup": False, "near_dedup_threshold": 3, "near_dedup_bands": 4,
-    "near_dedup_ngram": 5, "near_dedup_match": 2, "context_lengths": V.CONTEXT_LENGTHS, "code_denied_path_parts": V.DENIED_PATH_PARTS, "web_boilerplate_limit": 4, "quality_policies": None, "token_estimator": None,
+    "near_dedup_ngram": 5, "near_dedup_match": 2, "context_lengths": V.CONTEXT_LENGTHS, "code_denied_path_parts": V.DENIED_PATH_PARTS, "web_boilerplate_limit": 4, "quality_policies": None, "token_estimator": None, "materialize": True,
 }
 
 
@@ -32,7 +31,10 @@ class Pipeline:
     """The steps of a category, bound to its configuration.
 
     config may hold the keys of DEFAULTS; token_estimator is a function from
-    the text column to a column of whole numbers.
+    the text column to a column of whole numbers.  With materialize, rows are
+    written once to the shared folder after the text kernel and the row-local
+    steps: text crosses to Python once, and the duplicate joins read narrow
+    columns.  Without it the plan stays lazy and runs them for each join.
     """
 
     category: str
@@ -65,8 +67,9 @@ class Pipeline:
             chosen = F.coalesce(when, F.lit(False)) & ~taken
             slots += [(n, F.when(chosen, fields.string(n))) for n in parts]
             taken = taken | F.coalesce(when, F.lit(False))
-        df = df.withColumn("__k", X.text_kernel(F.array(*(c for _, c in slots))))
-        df = df.select("*", F.col("__k.text").alias("text_out"), F.col("__k.text_sha256").alias("text_sha256_out"))
+        kernel = X.text_kernel_with_print(config["near_dedup_ngram"]) if config["near_dedup"] else X.text_kernel
+        df = df.withColumn("__k", kernel(F.array(*(c for _, c in slots))))
+        df = df.select("*", F.col("__k.text").alias("text_out"), F.col("__k.text_sha256").alias("text_sha256_out"), F.col("__k.fp").alias("__fp"))
         for k, (name, _) in enumerate(slots):
             fields.put(name, F.get(F.col("__k.parts"), F.lit(k)))
         row.text = F.col("text_out")
@@ -77,6 +80,8 @@ class Pipeline:
             row.effects.step(name)
             step(row)
         df = df.withColumn("marks", E.array_of(row.effects.marks, E.MARK)).withColumn("stop_step", E.stop_step())
+        if config["materialize"]:
+            df = Workspace(df.sparkSession, "clean").save(df, "rows")
         df = self._duplicates(df, row, config)
         return self._finish(df, row, config, names, keep_dropped, fields)
 
@@ -93,7 +98,7 @@ class Pipeline:
         df = cut(df, F.col("__exact"), "exact_duplicate")
         row.effects.step(S.SUFFIX[2])
         if config["near_dedup"]:
-            prints = df.where("stop_step IS NULL").select("seq", H.simhash64(F.col("text_out"), config["near_dedup_ngram"]).alias("fp"))
+            prints = df.where("stop_step IS NULL").select("seq", F.col("__fp").alias("fp"))
             near = dedup.near_duplicates(prints, config["near_dedup_threshold"], config["near_dedup_bands"], match=config["near_dedup_match"]).select(F.col("seq").alias("__near"))
             df = cut(df.join(near, F.col("seq") == F.col("__near"), "left"), F.col("__near").isNotNull(), "near_duplicate")
         return df

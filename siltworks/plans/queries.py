@@ -11,7 +11,7 @@ from ..functions import hashing as H
 from ..functions import text as X
 from ..functions import values as V
 from ..operators import dedup, mixture, packing, tokens
-from ..session import ship
+from ..session import ship, spread
 from ..sources import readers
 from . import pipeline as P
 from . import presets as R
@@ -32,7 +32,12 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(df, _KEYS[name]) if name in _KEYS else df
+
+
+#: Tables of long texts, and what deals them out where they are one file.
+_KEYS = {"documents": "doc_id", "pages": "page_id"}
 
 
 # DuckDB has no NFKC or case folding: on these tables cleaning changes nothing

@@ -1,12 +1,13 @@
-"""Session helper, and the package on the executors."""
+"""Session helper, the package on the executors, and tables in the shared folder."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -37,3 +38,53 @@ def session(name: str = "siltworks", **conf: str) -> SparkSession:
     spark = builder.getOrCreate()
     ship(spark)
     return spark
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a temporary one only where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="siltworks-shared-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+class Workspace:
+    """Written tables of one operator call.
+
+    ``save`` cuts the lineage: the table is written once as Parquet and read
+    back, so lost executors recompute nothing before it.  ``drop`` removes a
+    table that no later plan reads; what is left goes when the JVM ends.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        ship(spark)
+        self.spark = spark
+        self.root = f"{shared_root(spark)}/siltworks/{label}-{uuid.uuid4().hex}"
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path(self.root)
+        self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs.mkdirs(self._path)
+        self._fs.deleteOnExit(self._path)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+        schema = df.schema
+        df.write.mode("overwrite").option("compression", codec).parquet(self.path(name))
+        return self.spark.read.schema(schema).parquet(self.path(name))
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name)), True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df over all cores where it comes from fewer files than there are cores.
+
+    A file of one row group is one task whatever its size; rows are dealt by
+    hash of the keys.  Tables of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
