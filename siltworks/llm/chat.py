@@ -7,7 +7,8 @@ comes before.  Viterbi decoding recovers the roles; lines of a turn are joined
 and rendered in canonical form.
 
 The model's probabilities are counts over at most ``TRAIN_CONVERSATIONS``
-labelled conversations with at most ``TRAIN_TURNS`` turns read of each.
+labelled conversations, with at most ``TRAIN_TURNS`` turns of ``TRAIN_CHARS``
+characters read of each.
 Transcripts are decoded where they lie, one at a time.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .workspace import ship
 
-TRAIN_CONVERSATIONS, TRAIN_TURNS = 500, 64
+TRAIN_CONVERSATIONS, TRAIN_TURNS, TRAIN_CHARS = 500, 32, 2000
 #: Turns of a conversation that make one transcript; longer ones are parsed in such segments.
 SEGMENT = 256
 ROLES = ("system", "user", "assistant", "tool")
@@ -129,7 +130,7 @@ def train(conversations: DataFrame, most: int = TRAIN_CONVERSATIONS) -> RoleMode
     model = RoleModel()
     ids = conversations.where("conv_id IS NOT NULL").select("conv_id").distinct().orderBy(F.xxhash64("conv_id"), "conv_id").limit(most)
     rows = conversations.join(F.broadcast(ids), "conv_id").where(F.col("turn").between(0, TRAIN_TURNS - 1) & F.col("role").isin(*ROLES))
-    rows = rows.select("conv_id", "turn", "role", F.substring("text", 1, 8000).alias("text")).distinct().orderBy("conv_id", "turn", "role", "text").limit(most * TRAIN_TURNS)
+    rows = rows.select("conv_id", "turn", "role", F.substring("text", 1, TRAIN_CHARS).alias("text")).distinct().orderBy("conv_id", "turn", "role", "text").limit(most * TRAIN_TURNS)
     now, states, seen = None, [], []
     for r in rows.select("conv_id", "turn", "role", "text", _style().alias("style"), _marked().alias("marked")).collect():
         if r.conv_id != now:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .workspace import ship
+from .workspace import documents, ship
 
 PASSAGE, RUN, GRAM = 64, 3, 3
 RARE_SHARE, RARE_LEAST = 0.0005, 20
@@ -249,7 +249,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
 
 def op1_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

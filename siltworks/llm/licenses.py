@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .workspace import documents
+
 #: Texts without any of these have no licence sentence; each pattern below contains one.
 WORDS = "licen[sc]e|copyright|spdx|permission|warrant|redistribut|all rights reserved|public domain|liable|copyleft|creative commons"
 _S = "(?:this (?:work|software|program|file|code|document|text|project|content) is |released |distributed |provided |available |it is )*"
@@ -142,7 +144,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan(documents(spark, sf_dir))
 
 
 def _sql() -> str:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .graph import components
-from .workspace import Workspace
+from .workspace import documents, Workspace
 
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
@@ -353,7 +353,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
 
 def op7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=4)
+    return near_duplicates(documents(spark, sf_dir), width=4)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from .workspace import Workspace
+from .workspace import documents, Workspace
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 BITS, LEVELS = 15, 4
@@ -136,7 +136,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mix(documents(spark, sf_dir))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:

@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .workspace import ship
+from .workspace import documents, ship
 
-#: Labelled documents the CRF is fitted on, and lines read of each.
-TRAIN_DOCS, TRAIN_LINES = 3000, 40
+#: Labelled documents the CRF is fitted on, and lines and characters read of each.
+TRAIN_DOCS, TRAIN_LINES, TRAIN_CHARS = 1500, 40, 10_000
 #: Least share of a document's words in content lines.
 MIN_CONTENT_SHARE = 0.5
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
@@ -116,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> LineCrf
     picked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
     head = F.concat_ws("\n", F.slice(F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0), 1, TRAIN_LINES))
-    rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "quality", F.substring(head, 1, 20000).alias("text"))
+    rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "quality", F.substring(head, 1, TRAIN_CHARS).alias("text"))
     rows = rows.orderBy("doc_id", "quality", "text").limit(2 * most)
     xs, ys = [], []
     for r in rows.select("quality", "text").collect():
@@ -190,7 +190,7 @@ def _crf(spark: SparkSession, sf_dir: str) -> LineCrf:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assess(spark.read.parquet(f"{sf_dir}/documents.parquet"), _crf(spark, sf_dir))
+    return assess(documents(spark, sf_dir), _crf(spark, sf_dir))
 
 
 def keep_good(docs: DataFrame, crf: LineCrf, text: str = "text", share: float = MIN_CONTENT_SHARE) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .workspace import ship
+from .workspace import documents, ship
 
 TRAIN_FINDINGS = 4000
 #: Share of trees that must call a finding a secret.
@@ -298,7 +298,7 @@ def redact(docs: DataFrame, forest: Forest | None = None, text: str = "text", pa
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return scan(documents(spark, sf_dir))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

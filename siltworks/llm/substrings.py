@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .workspace import Workspace
+from .workspace import documents, Workspace
 
 LENGTH, GRAM = 50, 20
 BLOCK = 2 << 20
@@ -399,7 +399,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return remove_repeats(documents(spark, sf_dir))
 
 
 QUERIES = {"op6_substring_dedup": op6_repeats}

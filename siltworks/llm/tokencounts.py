@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from .workspace import Workspace, ship
+from .workspace import documents, ship, Workspace
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splits text before the merges of rank files; a fixed value of their format.
@@ -127,7 +127,7 @@ def quantile(hist: DataFrame, share: float) -> DataFrame:
 
 
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return histogram(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return histogram(documents(spark, sf_dir))
 
 
 QUERIES = {"op3_token_counts": op3_tokens}

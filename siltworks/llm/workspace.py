@@ -1,70 +1,14 @@
-"""Tables in the cluster's shared folder, and the package on the executors."""
+"""Tables in the cluster's shared folder, the package on the executors, and scans."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-import zipfile
-
 from pyspark.sql import DataFrame, SparkSession
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, whatever their PYTHONPATH is."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    name = os.path.basename(root)
-    path = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}-code.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, files in os.walk(root):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.join(name, os.path.relpath(full, root)))
-    sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="siltworks-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-class Workspace:
-    """Written tables of one operator call.
-
-    ``save`` cuts the lineage: the table is written once as Parquet and read
-    back, so lost executors recompute nothing before it.  ``drop`` removes a
-    table that no later plan reads; what is left goes when the JVM ends.
-    """
-
-    def __init__(self, spark: SparkSession, label: str):
-        ship(spark)
-        self.spark = spark
-        self.root = f"{shared_root(spark)}/siltworks/{label}-{uuid.uuid4().hex}"
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path(self.root)
-        self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._path)
-        self._fs.deleteOnExit(self._path)
+from ..session import Workspace, shared_root, ship, spread
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+__all__ = ["Workspace", "documents", "shared_root", "ship", "spread"]
 
-    def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-        schema = df.schema
-        df.write.mode("overwrite").option("compression", codec).parquet(self.path(name))
-        return self.spark.read.schema(schema).parquet(self.path(name))
 
-    def drop(self, *names: str) -> None:
-        for name in names:
-            self._fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name)), True)
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole documents table, over all cores even where it is one file."""
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
