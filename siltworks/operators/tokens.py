@@ -13,7 +13,7 @@ from pyspark.sql import window as W
 
 from ..functions import values as V
 from ..functions.text import strip_py
-from ..session import ship
+from ..session import Workspace, ship
 from ..sources.sinks import write_json
 
 MODEL_TYPES = ("bpe", "wordpiece", "unigram")
@@ -148,19 +148,20 @@ def compression(texts: DataFrame, tokenizer, text: str = "text", by: str | None
     if max_samples:
         rank = F.row_number().over(W.Window.partitionBy(*names).orderBy("__order" if order else F.xxhash64("__text")))
         full = full.withColumn("__rank", rank).where(F.col("__rank") <= max_samples)
-    coded = encode(full, tokenizer, "__text", "__ids")
     size = tokenizer.get_vocab_size()
-    main = coded.groupBy(*names).agg(
-        F.count("*").alias("samples"), F.sum(F.octet_length("__text")).alias("total_bytes"), F.sum(F.length("__text")).alias("total_chars"), F.sum(F.size("__ids")).cast("bigint").alias("total_tokens")
-    )
+    volumes = full.groupBy(*names).agg(F.count("*").alias("samples"), F.sum(F.octet_length("__text")).alias("total_bytes"), F.sum(F.length("__text")).alias("total_chars"))
+    # texts are encoded once: all token figures come from the counts by id, a row for each entry used
+    coded = encode(full, tokenizer, "__text", "__ids")
     used = coded.select(*names, F.explode("__ids").alias("id")).groupBy(*names, "id").agg(F.count("*").alias("n"))
+    used = Workspace(texts.sparkSession, "tokens").save(used, "used")
+    total = used.groupBy(*names).agg(F.sum("n").alias("total_tokens"))
     top = used.withColumn("__r", F.row_number().over(W.Window.partitionBy(*names).orderBy(F.col("n").desc(), "id"))).where("__r <= 10")
     top = top.groupBy(*names).agg(F.transform(F.array_sort(F.collect_list(F.struct("__r", "id", "n"))), lambda x: F.struct(x.id.alias("id"), x.n.alias("count"))).alias("top_10_tokens"))
     distinct = used.groupBy(*names).agg(F.count("*").alias("used_tokens"))
     if by:
-        out = main.join(distinct, by).join(top, by).join(empty, by, "left")
+        out = volumes.join(total, by).join(distinct, by).join(top, by).join(empty, by, "left")
     else:
-        out = main.join(F.broadcast(distinct)).join(F.broadcast(top)).join(F.broadcast(empty))
+        out = volumes.join(F.broadcast(total)).join(F.broadcast(distinct)).join(F.broadcast(top)).join(F.broadcast(empty))
     t = F.col("total_tokens")
     return out.where(t > 0).select(
         *names, "samples", "total_bytes", "total_chars", "total_tokens", F.round(F.col("total_bytes") / t, 2).alias("bytes_per_token"), F.round(F.col("total_chars") / t, 2).alias("chars_per_token"),

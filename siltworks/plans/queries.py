@@ -11,7 +11,7 @@ from ..functions import hashing as H
 from ..functions import text as X
 from ..functions import values as V
 from ..operators import dedup, mixture, packing, tokens
-from ..session import ship, spread
+from ..session import Workspace, ship, spread
 from ..sources import readers
 from . import pipeline as P
 from . import presets as R
@@ -83,9 +83,9 @@ def simhash_fingerprints(spark, d):
 
 @query()
 def near_dedup(spark, d):
-    ship(spark)
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("seq"), H.simhash64(F.col("text")).alias("fp"))
-    return dedup.near_duplicates(docs).withColumnRenamed("seq", "doc_id")
+    prints = table(spark, d, "documents").select(F.col("doc_id").alias("seq"), H.simhash64(F.col("text")).alias("fp"))
+    prints = Workspace(spark, "near").save(prints, "prints")  # the join reads it three times
+    return dedup.near_duplicates(prints).withColumnRenamed("seq", "doc_id")
 
 
 _SIGNS = "(SELECT vec_id, {bits} AS fp FROM embeddings)".format(bits=" | ".join(f"(CASE WHEN embedding[{k + 1}] > 0 THEN {1 << k}::BIGINT ELSE 0::BIGINT END)" for k in range(60)))
