@@ -491,3 +491,69 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     return P.release(_general(spark, d, near_dedup=True).where("decision <> 'drop'"))
 
 
+
+
+@query("SELECT doc_id::VARCHAR AS id, md5('seed' || chr(0) || doc_id::VARCHAR) AS key FROM documents")
+def stable_keys(spark, d):
+    i = F.col("doc_id").cast("string")
+    return table(spark, d, "documents").select(i.alias("id"), H.stable_key(i, "seed").alias("key"))
+
+
+@query()
+def stable_keys_blake2b(spark, d):
+    ship(spark)
+    i = F.col("doc_id").cast("string")
+    return table(spark, d, "documents").select(i.alias("id"), H.stable_key(i, "seed", "blake2b").alias("key"))
+
+
+def _as_jsonl(spark: SparkSession, d: str) -> str:
+    ws = Workspace(spark, "jsonl")
+    table(spark, d, "documents").select("doc_id", "lang", "source", "text").write.option("ignoreNullFields", "false").option("compression", "gzip").json(ws.path("docs"))
+    return ws.path("docs")
+
+
+@query("SELECT doc_id, lang, source, text FROM documents")
+def jsonl_round_trip(spark, d):
+    rows = readers.read_jsonl(spark, _as_jsonl(spark, d))
+    f = readers.fields_of(rows)
+    return rows.select(f.number("doc_id").cast("bigint").alias("doc_id"), f.string("lang").alias("lang"), f.string("source").alias("source"), f.string("text").alias("text"))
+
+
+@query("SELECT text FROM documents WHERE length(text) > 0")
+def lenient_jsonl(spark, d):
+    return readers.read_corpus(spark, [_as_jsonl(spark, d)])
+
+
+@query(f"SELECT DISTINCT sha256({FOLD}) AS text_sha256 FROM documents")
+def stream_exact_dedup(spark, d):
+    """Exact deduplication of the table read as a stream, all there is, into a folder."""
+    from ..streaming.dedup import exact_stream
+
+    ws = Workspace(spark, "stream")
+    path = f"{d}/documents.parquet"
+    # a glob, as a stream's plain path must be a folder
+    rows = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{d}/documents.parque[t]")
+    run = exact_stream(rows).select("text_sha256").writeStream.format("parquet").option("path", ws.path("out")).option("checkpointLocation", ws.path("state")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema("text_sha256 string").parquet(ws.path("out"))
+
+
+@query("""WITH m AS (SELECT conv_id, string_agg('<|im_start|>' || role || chr(10) || CASE WHEN role = 'assistant' THEN '<|think_start|>' || substr(text, 1, 20) || '<|think_end|>' || chr(10) ELSE '' END || text || '<|im_end|>' || chr(10), '' ORDER BY turn) AS chat FROM conversations GROUP BY conv_id) SELECT * FROM m""")
+def chat_render_reasoning(spark, d):
+    rows = _conversations(spark, d)
+    thought = F.transform("messages", lambda m: F.struct(m.role.alias("role"), m.content.alias("content"), F.substring(m.content, 1, 20).alias("reasoning_content")))
+    return rows.select("conv_id", X.chat_text_with_reasoning(thought).alias("chat"))
+
+
+@query("""WITH k AS (SELECT l_suppkey AS key, count(*) AS weight FROM lineitem GROUP BY 1) SELECT count(*) AS units, CAST(sum(weight) AS BIGINT) AS total, max(weight) AS heaviest FROM k""")
+def balanced_totals(spark, d):
+    b = balanced_units(spark, d)
+    return b.agg(F.count("*").alias("units"), F.sum("weight").alias("total"), F.max("weight").alias("heaviest"))
+
+
+@query(f"""WITH t AS (SELECT doc_id::VARCHAR AS source_id, least({TOKENS}, 4096) AS n FROM documents) SELECT source_id, CAST(n AS INT) AS n FROM t""")
+def packed_members(spark, d):
+    """Every sample of the packing with its length, read back from the sequences' offsets."""
+    packed, _ = packing.pack(_samples(spark, d), 4096, shards=4)
+    each = F.transform("source_ids", lambda x, k: F.struct(x.alias("source_id"), (F.get(F.col("cu_seqlens"), k + 1) - F.get(F.col("cu_seqlens"), k)).alias("n")))
+    return packed.select(F.explode(each).alias("x")).select("x.source_id", "x.n")
