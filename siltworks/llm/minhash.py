@@ -375,4 +375,18 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one(docs)
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS g FROM w),
+n AS (SELECT doc_id, len(g) AS n FROM s),
+x AS (SELECT doc_id, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS d, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON r.d = e.a WHERE r.root < e.b)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, c.root AS component_id, n.doc_id = c.root AS kept FROM n JOIN (SELECT d, min(root) AS root FROM r GROUP BY d) c ON n.doc_id = c.d
+"""
+
 QUERIES = {"op7_near_duplicates": op7_near}
+ORACLES = {"op7_near_duplicates": SQL}

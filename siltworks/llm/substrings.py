@@ -402,4 +402,18 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
 
 
+SQL = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, unnest(range(n - 49)) AS p, x FROM h WHERE n >= 50),
+k AS (SELECT doc_id, p, substr(x, CAST(2 * p + 1 AS INT), 100) AS s FROM w),
+m AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS least FROM k),
+g AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS _, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM m WHERE least < doc_id),
+i AS (SELECT doc_id, p, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS island FROM g),
+j AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY doc_id, island),
+c AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM j),
+t AS (SELECT c.doc_id, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans, string_agg(substr(x, CAST(2 * before + 1 AS INT), CAST(2 * (a - before) AS INT)), '' ORDER BY a) AS front, max(b) AS last FROM c JOIN h USING (doc_id) GROUP BY c.doc_id)
+SELECT h.doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(front, '') || substr(x, CAST(2 * coalesce(last, 0) + 1 AS INT)))) AS kept_sha256 FROM h LEFT JOIN t USING (doc_id)
+"""
+
 QUERIES = {"op6_substring_dedup": op6_repeats}
+ORACLES = {"op6_substring_dedup": SQL}
