@@ -101,7 +101,7 @@ def superminhash(sets: list[np.ndarray], slots: int = SLOTS, seed: int = 1) -> n
             break
         if perm is None:
             doc, x, pick = doc[live], x[live], pick[live]
-            perm = np.tile(np.arange(slots, dtype=np.uint16), (len(doc), 1))
+            perm = np.tile(np.arange(slots, dtype=np.uint8 if slots <= 256 else np.uint16), (len(doc), 1))
             perm[np.arange(len(doc)), pick] = 0
             perm[:, 0] = pick
         else:

@@ -212,4 +212,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs, _crf(spark, sf_dir))
 
 
-QUERIES = {"op10_quality_rules": op10_quality}
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and base verdict of op10, which SQL can check."""
+    return assess(documents(spark, sf_dir), LineCrf()).drop("content_words", "kept")
+
+
+BASE_SQL = """
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM r) GROUP BY doc_id),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM w)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(ws) < 50 OR 100 * coalesce(c.n, 0) > 50 * len(ws) AS base_failed
+FROM w JOIN l USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+QUERIES = {"op10_quality_rules": op10_quality, "quality_base_counts": quality_base_counts}
+ORACLES = {"quality_base_counts": BASE_SQL}
