@@ -10,11 +10,19 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_IN_A_BATCH = 2000
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, whatever their PYTHONPATH is; once an application."""
+    """Give the executors this package, whatever their PYTHONPATH is; once an application.
+
+    Rows hold whole texts here, so Arrow batches get fewer of them than Spark's
+    default, unless the session has its own number.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(TEXTS_IN_A_BATCH))
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
