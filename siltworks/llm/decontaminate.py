@@ -35,8 +35,9 @@ from .workspace import documents, ship
 PASSAGE, RUN, GRAM = 64, 3, 3
 RARE_SHARE, RARE_LEAST = 0.0005, 20
 BLOCK_WORDS = 100_000
-#: Least similarity of a leak.
-SIMILARITY = 0.4
+#: A leak has this share of the best score and this score, or the second score
+#: whatever its share: 13 words in a row, or as much with gaps and changes.
+SIMILARITY, LEAST_SCORE, ENOUGH_SCORE = 0.4, 14, 26
 #: Document words by which candidate windows advance.
 STRIDE = 64
 U = np.uint64
@@ -116,8 +117,8 @@ class Block:
         windows = np.unique(np.stack([row, passage, np.floor_divide(begins, STRIDE)], 1), axis=0)
         best: dict[tuple, tuple] = {}
         for i in range(0, len(windows), 512):
-            for (r, p, _), (score, first, last) in zip(windows[i : i + 512].tolist(), self._align(words, at, windows[i : i + 512])):
-                if score >= SIMILARITY:
+            for (r, p, _), (raw, score, first, last) in zip(windows[i : i + 512].tolist(), self._align(words, at, windows[i : i + 512])):
+                if raw >= ENOUGH_SCORE or score >= SIMILARITY and raw >= min(LEAST_SCORE, 2 * len(self.words[p])):
                     key, found = (r, self.item[p]), (score, -first, -last)
                     if found > best.get(key, (0,)):
                         best[key] = found
@@ -158,7 +159,7 @@ class Block:
             better = h[every, end] > top
             top = np.where(better, h[every, end], top)
             first, last = np.where(better, origin[every, end], first), np.where(better, end - 1, last)
-        return list(zip((top / (2.0 * lens)).tolist(), (first + start).tolist(), (last + start).tolist()))
+        return list(zip(top.tolist(), (top / (2.0 * lens)).tolist(), (first + start).tolist(), (last + start).tolist()))
 
 
 def _slices(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

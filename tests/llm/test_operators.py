@@ -135,6 +135,17 @@ def test_leaks_in_common_words(spark):
     assert {x.doc_id for x in got} == set(range(30))
 
 
+def test_parts_of_an_item(spark):
+    """Thirteen words in a row leak, ten do not, whatever the item's length; short items leak as a whole."""
+    r = random.Random(31)
+    item = prose(r, 60)
+    words = item.split()
+    put = lambda w: prose(r, 50) + " " + " ".join(w) + " " + prose(r, 50)
+    docs = [put(words[5:18]), put(words[20:30]), put(words[3:9]), put("ba de fi go".split()), put(words[:20] + words[24:40])]
+    got = decontaminate.leaks(frame(spark, docs), spark.createDataFrame([(1, item), (2, "ba de fi go")], "item_id bigint, text string")).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == {(0, 1), (3, 2), (4, 1)}
+
+
 def test_leaks_edges(spark):
     df, rows = odd(spark)
     bench = spark.createDataFrame([(1, "no such words are in there at all")], "item_id bigint, text string")
