@@ -347,9 +347,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         classes = classes.join(tops, "root").select("node", "component_id")
     else:
         classes = classes.select("node", F.col("least").alias("component_id"))
-    out = sig.select("key", "node", "n_shingles").join(classes, "node", "left")
-    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key"))
-    return out.select(F.col("key").alias(key), "n_shingles", own.alias("component_id"), F.col("key").eqNullSafe(own).alias("kept"))
+    # documents without a shingle have one digest, and would all meet in one task of the join
+    full = sig.where("n_shingles > 0").select("key", "node", "n_shingles").join(classes, "node").drop("node")
+    alone = sig.where("n_shingles = 0").select("key", "n_shingles", F.col("key").alias("component_id"))
+    out = full.unionByName(alone)
+    return out.select(F.col("key").alias(key), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op7_near(spark: SparkSession, sf_dir: str) -> DataFrame:

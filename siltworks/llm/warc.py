@@ -121,7 +121,10 @@ def record_lines(chunks: DataFrame) -> DataFrame:
 def write(records: DataFrame, path: str, chunk: int = CHUNK, least: int = REVISIT_BYTES, codec: str = "none") -> None:
     """Write (record_id, url, payload) as WARC files under path; repeated rows are written each."""
     back = revisits(records, least)
-    marked = records.join(back.withColumnRenamed("record_id", "rid"), F.col("record_id") == F.col("rid"), "left").drop("rid").withColumn("row", F.monotonically_increasing_id())
+    # records without an id are no revisits, and would all meet in one task of the join
+    named = records.where("record_id IS NOT NULL").join(back, "record_id", "left")
+    nameless = records.where("record_id IS NULL").withColumn("refers_to", F.lit(None).cast("bigint"))
+    marked = named.unionByName(nameless).withColumn("row", F.monotonically_increasing_id())
     # a revisit keeps the digest and length of its payload and carries no bytes
     full = chunk_table(marked.where("refers_to IS NULL"), chunk)
     refs = marked.where("refers_to IS NOT NULL").select(
