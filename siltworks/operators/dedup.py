@@ -18,7 +18,9 @@ def first_seen(df: DataFrame, key: str = "text_sha256", seq: str = "seq") -> Dat
 def exact_duplicates(df: DataFrame, key: str = "text_sha256", seq: str = "seq", out: str = "is_duplicate") -> DataFrame:
     """df with a flag for rows whose key an earlier row has; null keys are no duplicates."""
     firsts = first_seen(df, key, seq).withColumnRenamed(key, "__key")
-    return df.join(firsts, F.col(key) == F.col("__key"), "left").withColumn(out, F.coalesce(F.col(seq) > F.col("first"), F.lit(False))).drop("__key", "first")
+    # rows without a key match nothing; a key of their own keeps them from meeting in one task
+    own = F.coalesce(F.col(key), F.concat(F.lit("\0"), F.col(seq).cast("string")))
+    return df.join(firsts, own == F.col("__key"), "left").withColumn(out, F.coalesce(F.col(seq) > F.col("first"), F.lit(False))).drop("__key", "first")
 
 
 def block_keys(fp: Column, threshold: int, match: int) -> Column:
