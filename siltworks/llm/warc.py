@@ -6,8 +6,8 @@ WARC/1.1 record on disk: a payload of one chunk is an ordinary record, a longer
 one is a segmented record, whose first segment names the kind and whose others
 are ``continuation`` records.  Spark's text writer lays the records down and
 its reader finds them again by the bytes between two records, so archives live
-in whatever store Spark reads and split over tasks.  Chunks are cut so that no
-payload holds those bytes.
+in whatever store Spark reads; without compression a file splits over tasks.
+Chunks are cut so that no payload holds those bytes.
 
 Digests are incremental: a reader hashes each chunk as it comes, and only
 records of several segments are brought together, ordered by segment.
@@ -242,7 +242,8 @@ def assemble(chunks: DataFrame) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "warc")
-    write(payload_table(spark.read.parquet(f"{sf_dir}/pages.parquet")), ws.path("archives"))
+    # gzip is the usual form of archives; each file is what one task wrote
+    write(payload_table(spark.read.parquet(f"{sf_dir}/pages.parquet")), ws.path("archives"), codec="gzip")
     return assemble(read(spark, ws.path("archives"))).withColumnRenamed("record_id", "page_id")
 
 
