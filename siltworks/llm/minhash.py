@@ -13,8 +13,8 @@
     that then still hold several components are worked through whole, each a
     group of rows with the texts: a pair of two components is compared in the
     first bucket it shares, so in one place only, and only links leave the
-    task.  A bucket of more than ``CHUNK`` classes is dealt out as pairs of its
-    chunks.  Nothing is capped, and no table of pairs arises.
+    task.  A bucket of more than ``CHUNK`` classes, or ``CHUNK_BYTES`` of packed
+    texts, is dealt out as pairs of its chunks.  Nothing is capped, and no table of pairs arises.
     Before texts are read, sizes and signatures must allow the link: signatures
     are compared by four bits a slot; a pair at 0.8 differs in 30 of 160 and in
     more than ``DIFFERENT`` with probability 1e-7.  Links are confirmed on
@@ -38,8 +38,8 @@ from .workspace import documents, Workspace
 
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
-#: Classes of a bucket that a task holds at a time, twice.
-CHUNK = 4096
+#: Classes of a bucket that a task holds at a time, twice, and bytes of their packed texts.
+CHUNK, CHUNK_BYTES = 4096, 8 << 20
 DIFFERENT = 57
 U = np.uint64
 _STEPS = np.arange(1 << 12, dtype=U) * U(K.BASE)
@@ -226,9 +226,12 @@ def _links(ws: Workspace, sig: DataFrame, width: int, percent: int) -> DataFrame
     star = ws.save(star.select(F.col("leader").alias("a"), F.col("node").alias("b")), "star")
     links = ws.save(verify(star, known.select("node", "body"), width, percent), "links")
     roots = ws.save(components(ws, links, "stars"), "roots")
-    of = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    mixed = of.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
-    rows = of.join(mixed, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    # the root and the packed size of every class that shares a bucket
+    nodes = known.select("node", F.length("body").cast("bigint").alias("bytes")).join(roots, "node", "left")
+    of = members.join(nodes, "node").select("bucket", "node", "bytes", F.coalesce("root", "node").alias("root"))
+    mixed = of.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("bytes").alias("bytes"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    mixed = mixed.select("bucket", F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("bytes") / CHUNK_BYTES)).cast("int").alias("chunks"))
+    rows = of.drop("bytes").join(mixed, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "with"), "j": F.greatest("chunk", "with")}).join(known, "node")
     rows = rows.select("bucket", "i", "j", "node", "root", "chunk", "n", "bands", "sketch", "body").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
     more = ws.save(rows.mapInArrow(_bucket_links(width, percent), "a binary, b binary"), "more")

@@ -491,12 +491,15 @@ def test_near_large_buckets_in_chunks(spark):
         for _ in range(r.randint(0, 5)):
             w[r.randrange(len(w))] = r.choice(VOCAB)
         rows.append((k, " ".join(w)))
-    old, minhash.CHUNK = minhash.CHUNK, 16
-    try:
-        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=4).collect()
-    finally:
-        minhash.CHUNK = old
-    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted(brute_near(rows, 4))
+    want = sorted(brute_near(rows, 4))
+    for name, small in (("CHUNK", 16), ("CHUNK_BYTES", 4000)):
+        old = getattr(minhash, name)
+        setattr(minhash, name, small)
+        try:
+            got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=4).collect()
+        finally:
+            setattr(minhash, name, old)
+        assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == want
 
 
 def test_superminhash_estimates():
