@@ -18,6 +18,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +33,8 @@ TRAIN_FINDINGS = 4000
 #: Share of trees that must call a finding a secret.
 THRESHOLD = 0.5
 _NAME = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?key|auth[_-]?key|credential)s?")
-_VALUE = re.compile(r"""[\w.\-\]]{0,32}["']?[ \t]{0,4}(?::=|=>|=|:)[ \t]{0,4}(?:bearer[ \t]{1,4})?["'`]?([^\s"'`,;<>(){}\[\]]{8,512})""", re.I)
+_VALUE = re.compile(r"""[\w.\-\]]{0,32}["']?[ \t]{0,4}(?::=|=>|=|:)[ \t]{0,4}(?:bearer[ \t]{1,4})?["'`]?([^\s"'`,;<>(){}\[\]]{8})""", re.I)
+_RUN = re.compile(r"""[^\s"'`,;<>(){}\[\]]*""")
 _KNOWN = (
     ("aws-key-id", re.compile(r"\bAKIA[0-9A-Z]{16}\b")),
     ("github", re.compile(r"\bgh[pousr]_[A-Za-z0-9]{36,}")),
@@ -70,9 +72,12 @@ _UUID = re.compile(r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of what may be a secret, without overlaps, in text order."""
     found = []
+    stop = 0  # end of the last value's run, read once however many names are in it
     for m in _NAME.finditer(text):
         if v := _VALUE.match(text, m.end()):
-            found.append((v.start(1), v.end(1), "assigned"))
+            if v.end(1) > stop:
+                stop = _RUN.match(text, v.end(1)).end()
+            found.append((v.start(1), stop, "assigned"))
     for kind, pattern in _KNOWN:
         found += [(m.start(), m.end(), kind) for m in pattern.finditer(text)]
     for m in _MIXED.finditer(text):
@@ -94,23 +99,22 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
 def features(text: str, start: int, end: int, kind: str, path: str | None) -> list[float]:
     s = text[start:end]
     n = len(s)
-    head = s[:256]
-    kinds = ["d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "o" for c in head]
-    m = len(head)
-    counts = [head.count(c) for c in set(head)]
+    kinds = ["d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "o" for c in s]
+    counts = Counter(s).values()
     run = best = 1
-    for a, b in zip(head, head[1:]):
+    for a, b in zip(s, s[1:]):
         run = run + 1 if a == b else 1
         best = max(best, run)
-    words = sum(len(w) for w in _WORDS.findall(head))
+    words = sum(len(w) for w in _WORDS.findall(s))
+    marks = sum(len(w) for w in _PLACEHOLDER.findall(s))  # as a share: three letters in some thousand are chance
     letters = sum(k in "lu" for k in kinds)
     before, after = text[max(0, start - 48) : start], text[end : end + 24]
     return [
-        math.log2(n), kinds.count("d") / m, kinds.count("l") / m, kinds.count("u") / m, kinds.count("o") / m,
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / max(m - 1, 1), -sum(c / m * math.log2(c / m) for c in counts),
-        sum(c in "aeiouAEIOU" for c in head) / max(letters, 1), best, words / m, bool(_PLACEHOLDER.search(head)), all(c in "0123456789abcdefABCDEF" for c in head),
-        head.count("/"), head.count("."), kind == "assigned", bool(_NEAR_SECRET.search(before)), bool(_NEAR_HARMLESS.search(before) or _NEAR_HARMLESS.search(after)),
-        before[-1:] in "\"'`" and after[:1] in "\"'`" and after[:1] != "", bool(path and _PATH_HARMLESS.search(path)), kind not in ("assigned", "mixed"), bool(_UUID.match(head)),
+        math.log2(n), kinds.count("d") / n, kinds.count("l") / n, kinds.count("u") / n, kinds.count("o") / n,
+        sum(a != b for a, b in zip(kinds, kinds[1:])) / max(n - 1, 1), -sum(c / n * math.log2(c / n) for c in counts),
+        sum(c in "aeiouAEIOU" for c in s) / max(letters, 1), best, words / n, marks / n, all(c in "0123456789abcdefABCDEF" for c in s),
+        s.count("/"), s.count("."), kind == "assigned", bool(_NEAR_SECRET.search(before)), bool(_NEAR_HARMLESS.search(before) or _NEAR_HARMLESS.search(after)),
+        before[-1:] in "\"'`" and after[:1] in "\"'`" and after[:1] != "", bool(path and _PATH_HARMLESS.search(path)), kind not in ("assigned", "mixed"), bool(_UUID.match(s)),
     ]
 
 
@@ -185,7 +189,7 @@ def labelled_findings(n: int = TRAIN_FINDINGS, seed: int = 11) -> list[tuple[str
         q = r.choice(['"', "'", ""])
         sep = r.choice([" = ", "=", ": "])
         if k % 2:
-            value = r.choice([lambda: pick(hexa, r.choice([32, 40, 40, 64])), lambda: pick(alnum, r.randint(16, 48)), lambda: pick(alnum + "+/", r.randint(24, 60)) + r.choice(["", "=", "=="]), lambda: pick(alnum + "!@#%^&-_", r.randint(10, 20)), lambda: ""])()
+            value = r.choice([lambda: pick(hexa, r.choice([32, 40, 40, 64])), lambda: pick(alnum, r.randint(16, 48)), lambda: pick(alnum + "+/", r.randint(24, 60)) + r.choice(["", "=", "=="]), lambda: pick(alnum + "!@#%^&-_", r.randint(10, 20)), lambda: pick(alnum + r.choice(["", "+/", "-_."]), r.randint(61, 6000)), lambda: ""])()
             if value:
                 out.append((f"{filler()} {secret_name()}{sep}{q}", value, f"{q} {filler()}", "assigned", paths(r.random() < 0.9), 1))
             else:

@@ -574,6 +574,25 @@ def test_secret_scan_and_redaction(spark):
     assert secretscan.redact(df).columns == df.columns
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_secret_long_values(spark, seed):
+    r = random.Random(seed)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    values = ["".join(r.choice(alnum + more) for _ in range(n)) for n, more in ((513, ""), (1500, "+/"), (5000, "-_"), (9000, ""))]
+    texts = [f'before {name}="{v}" after' for name, v in zip(("secret", "token", "private_key", "api_key"), values)]
+    got = secretscan.scan(frame(spark, texts)).where("is_secret").collect()
+    assert {(x.doc_id, x.sha256) for x in got} == {(k, hashlib.sha256(v.encode()).hexdigest()) for k, v in enumerate(values)}
+    clean = [x.text for x in secretscan.redact(frame(spark, texts)).orderBy("doc_id").collect()]
+    assert clean == [t.replace(v, secretscan.MASK) for t, v in zip(texts, values)]
+
+
+def test_secret_features_see_the_whole():
+    v = "a1" * 200 + "/" * 100
+    assert secretscan.features(v, 0, len(v), "assigned", None)[secretscan.FEATURES.index("slashes")] == 100
+    many = "token=abcdefgh" * 20_000  # one run with many names in it
+    assert secretscan.candidates(many)[0] == (6, len(many), "assigned")
+
+
 def test_secret_candidates_do_not_overlap():
     r = random.Random(1)
     for _ in range(50):
