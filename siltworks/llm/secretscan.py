@@ -42,8 +42,13 @@ _KNOWN = (
     ("stripe", re.compile(r"\b[sr]k_live_[0-9A-Za-z]{20,}")),
     ("google", re.compile(r"\bAIza[0-9A-Za-z_\-]{35}")),
     ("jwt", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
-    ("private-key", re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")),
 )
+_EDGE = re.compile(r"-----(BEGIN|END) [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----")
+_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
+# Lines of a block without an end: blanks, quotes and headers, then base64; a last line may be short.
+_HEAD = re.compile(r"""(?:\s|\\[nrt]|["'`+,>#*|]|(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset)\s{0,4}:(?:(?!\\[nr])[^\n])*)*""")
+_LINE = re.compile(r"""(?:\s|\\[nrt]|["'`+,>#*|])*([A-Za-z0-9+/]{16,}={0,2})""")
+_LAST = re.compile(r"""["'`+, \t]{0,8}(?:\r?\n|\\r\\n|\\n)[ \t>#*|"'`]{0,40}[A-Za-z0-9+/]{1,15}={0,2}(?=["'`]|\s*$|[ \t]*\r?\n|\\[nr])""")
 _MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}")
 _NEAR_SECRET = re.compile(r"(?i)token|secret|passw|pwd|api.?key|access.?key|private.?key|credential|auth|bearer|login")
 _NEAR_HARMLESS = re.compile(r"(?i)example|sample|dummy|placeholder|fake|commit|hash|sha-?\d*|md5|checksum|digest|integrity|uuid|guid|build|revision|href|src|img|image|file|path|trace")
@@ -69,6 +74,33 @@ FEATURES = ("length", "digits", "lower", "upper", "other", "transitions", "entro
 _UUID = re.compile(r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
 
 
+def private_keys(text: str) -> list[tuple[int, int]]:
+    """(start, end) of private keys with their material.
+
+    A block ends with its END line if base64 is most of what lies between, else
+    with the last line of base64 that follows; if none does, with the BEGIN line.
+    """
+    edges = list(_EDGE.finditer(text))
+    out = []
+    for m, after in zip(edges, [*edges[1:], None]):
+        if m.group(1) != "BEGIN":
+            continue
+        end = m.end()
+        stop = after.start() if after else len(text)
+        if after and after.group(1) == "END":
+            between = text[end:stop]
+            if 2 * sum(len(x) for x in _BASE64.findall(between)) >= len(between):
+                out.append((m.start(), after.end()))
+                continue
+        at = _HEAD.match(text, end, stop).end()
+        while line := _LINE.match(text, at, stop):
+            end = at = line.end()
+        if end > m.end() and (last := _LAST.match(text, end, stop)):
+            end = last.end()
+        out.append((m.start(), end))
+    return out
+
+
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of what may be a secret, without overlaps, in text order."""
     found = []
@@ -80,6 +112,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
             found.append((v.start(1), stop, "assigned"))
     for kind, pattern in _KNOWN:
         found += [(m.start(), m.end(), kind) for m in pattern.finditer(text)]
+    found += [(*x, "private-key") for x in private_keys(text)]
     for m in _MIXED.finditer(text):
         s = m.group()
         if any(c.isdigit() for c in s) and any(c.isalpha() for c in s):
@@ -184,23 +217,36 @@ def labelled_findings(n: int = TRAIN_FINDINGS, seed: int = 11) -> list[tuple[str
     secret_name = lambda: r.choice(["token", "secret", "password", "api_key", "apiKey", "access_key", "SECRET_KEY", "auth_token", "client_secret", "db_password", "passwd"])
     other_name = lambda: r.choice(["commit", "hash", "sha256", "md5", "checksum", "integrity", "uuid", "id", "digest", "revision", "build", "etag", "src", "image", "file", "trace_id"])
     paths = lambda good: r.choice(["", "src0", "web", "src/app/config.py", "settings.py", ".env"] if good else ["", "src0", "web", "tests/test_auth.py", "docs/example.md", "package-lock.json", "fixtures/a.json"])
+
+    def pem():
+        kind, body = r.choice(["RSA ", "EC ", "OPENSSH ", ""]), pick(alnum + "+/", r.choice([0, r.randint(100, 3000)]))
+        return f"-----BEGIN {kind}PRIVATE KEY-----" + "".join("\n" + body[k : k + 64] for k in range(0, len(body), 64)) + (f"\n-----END {kind}PRIVATE KEY-----" if body else "")
+
+    def loose():  # what stands before a secret that no listed name is assigned
+        return r.choice(["Authorization: Bearer ", "Authorization: Basic ", "authorization: ", "Bearer ", "X-Auth: ", "auth ", "login ", "the token is ", "credentials are ", "use the secret ", "passwd root "])
+
     out = []
     for k in range(n):
         q = r.choice(['"', "'", ""])
         sep = r.choice([" = ", "=", ": "])
+        if k % 8 == 1:
+            bare = r.random() < 0.2  # hex without such words is not told from hashes
+            value = r.choice([lambda: pick(alnum, r.randint(24, 80)), lambda: pick(alnum + "_-", r.randint(24, 80)), lambda: pick(alnum + "+/", r.randint(24, 400)) + r.choice(["", "=", "=="]), lambda: pick(alnum if bare else hexa, r.choice([32, 40, 64]))])()
+            out.append((f"{filler()} {r.choice(['curl -u admin:', 'https://user:', 'x: ', '']) if bare else loose()}{r.choice(['', q])}", value, f"{q} {filler()}", "mixed", paths(r.random() < 0.9), 1))
+            continue
         if k % 2:
             value = r.choice([lambda: pick(hexa, r.choice([32, 40, 40, 64])), lambda: pick(alnum, r.randint(16, 48)), lambda: pick(alnum + "+/", r.randint(24, 60)) + r.choice(["", "=", "=="]), lambda: pick(alnum + "!@#%^&-_", r.randint(10, 20)), lambda: pick(alnum + r.choice(["", "+/", "-_."]), r.randint(61, 6000)), lambda: ""])()
             if value:
                 out.append((f"{filler()} {secret_name()}{sep}{q}", value, f"{q} {filler()}", "assigned", paths(r.random() < 0.9), 1))
             else:
-                kind, value = r.choice([("aws-key-id", "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16)), ("github", "ghp_" + pick(alnum, 36)), ("stripe", "sk_live_" + pick(alnum, 24)), ("slack", f"xoxb-{pick('0123456789', 12)}-{pick(alnum, 24)}"), ("google", "AIza" + pick(alnum, 35)), ("jwt", f"eyJ{pick(alnum, 20)}.eyJ{pick(alnum, 40)}.{pick(alnum, 43)}"), ("private-key", "-----BEGIN RSA PRIVATE KEY-----")])
+                kind, value = r.choice([("aws-key-id", "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16)), ("github", "ghp_" + pick(alnum, 36)), ("stripe", "sk_live_" + pick(alnum, 24)), ("slack", f"xoxb-{pick('0123456789', 12)}-{pick(alnum, 24)}"), ("google", "AIza" + pick(alnum, 35)), ("jwt", f"eyJ{pick(alnum, 20)}.eyJ{pick(alnum, 40)}.{pick(alnum, 43)}"), ("private-key", pem())])
                 out.append((f"{filler()} {r.choice([secret_name(), word(), ''])}{sep}{q}", value, f"{q} {filler()}", kind, paths(r.random() < 0.9), 1))
             continue
         kind = r.choice(["placeholder", "hash", "uuid", "identifier", "path", "environment", "words", "number", "base64", "sentence"])
         if kind == "placeholder":
             row = f"{secret_name()}{sep}{q}", r.choice(["YOUR_API_KEY_HERE", "xxxxxxxxxxxxxxxx", "changeme123", "your-secret-token", "<insert-token>", "example_password_1", "abcdef1234567890", "REDACTED_VALUE", "dummy-token-value", "0" * r.randint(8, 40), "x" * r.randint(8, 40)]), "assigned"
         elif kind == "hash":
-            row = f"{other_name()}{sep}{q}", pick(hexa, r.choice([32, 40, 64])), "mixed"
+            row = f"{r.choice([other_name() + sep, 'id ', 'etag: ', ''])}{q}", pick(hexa, r.choice([32, 40, 64])), "mixed"
         elif kind == "uuid":
             row = f"{r.choice([other_name(), 'token'])}{sep}{q}", "-".join(pick(hexa, k) for k in (8, 4, 4, 4, 12)), "mixed"
         elif kind == "identifier":
