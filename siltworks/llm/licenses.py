@@ -1,6 +1,6 @@
 """License scans by sentence rules, in DataFrame functions only.
 
-A document's text is cut into sentences, and sentences with a licence word are
+A document's text is cut into sentences, which may be wrapped over lines, and sentences with a licence word are
 normalised: A-Z in lower case, everything but letters, digits and dots to one
 blank.  ``SENTENCES`` names the known ones (the first pattern that matches a
 whole sentence counts); a licence sentence that none matches is unknown.  The
@@ -19,8 +19,19 @@ from pyspark.sql import functions as F
 
 from .workspace import documents
 
-#: Texts without any of these have no licence sentence; each pattern below contains one.
+#: Words of the SQL's filter.
 WORDS = "licen[sc]e|copyright|spdx|permission|warrant|redistribut|all rights reserved|public domain|liable|copyleft|creative commons"
+#: Texts without any of these have no licence sentence; each pattern below contains one.
+FILTER = WORDS.replace(" ", "[^a-z0-9.]+")
+_CUT = "\x01"
+#: Newlines that end a sentence: after a colon, at a blank line, before a list item or the start of a known sentence.
+_ENDS = (
+    r"(?<=:)[ \t\r]*\n", r"\n[^\p{L}\p{N}]*\n", r"\n(?=[* ][ \t*#/>]*(?:[0-9]{1,2}[.)]|[a-i][.)]|\([0-9a-i]{1,3}\)|[-+•])[ \t]|(?:[0-9]{1,2}[.)]|[a-i][.)]|\([0-9a-i]{1,3}\)|[-+*•])[ \t])",
+    r"\n(?=[^a-z0-9\n]*(?:spdx|copyright (?:\(c\)|©|[12][0-9]{3})|all rights reserved|permission is hereby|permission to use|redistributions? |unless required by|you may not use this|the above copyright notice and this|the software is provided|in no event|this program is|neither the name))",
+    r"(?<=identifier: [a-z0-9.+-]{2,40})[ \t\r]*\n",
+)
+#: Identifiers of patterns that match almost any text around a few words.
+_LOOSE = ("unknown", "copyright", "public-domain", "rights-reserved", "spdx-other")
 _S = "(?:this (?:work|software|program|file|code|document|text|project|content) is |released |distributed |provided |available |it is )*"
 _L = "(?:licen[sc]ed |released |distributed |available |provided |published )"
 _U = "(?:under |by |per )?(?:the )?(?:terms of )?(?:the )?"
@@ -106,11 +117,31 @@ def normalise(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(sentence, "[^a-z0-9.]+", " "), "[.]+( |$)", " "))
 
 
-def sentences(text: Column) -> Column:
-    """Normalised licence sentences in text order."""
+def pieces(text: Column) -> Column:
+    """Sentences with a licence word, in lower case, whose lines may be wrapped; in text order."""
     low = F.translate(text, _UPPER, _LOWER)
-    cut = F.split(F.regexp_replace(low, "([.;!?])[ \\t\\r\\n]+", "$1\n"), "\n")
-    return F.filter(F.transform(F.filter(cut, lambda x: F.rlike(x, F.lit(WORDS))), normalise), lambda x: F.rlike(x, F.lit(WORDS)))
+    for end in _ENDS:
+        low = F.regexp_replace(low, end, _CUT)
+    cut = F.split(F.regexp_replace(low, f"([.;!?])[ \\t\\r\\n{_CUT}]+", f"$1{_CUT}"), _CUT)
+    return F.filter(cut, lambda x: F.rlike(x, F.lit(FILTER)))
+
+
+def identifiers(text: Column) -> Column:
+    """Identifiers of a text's licence sentences, in text order.
+
+    A sentence over several lines is read as one, unless its lines by themselves
+    are known sentences of another kind, or are known where the whole is not.
+    """
+    has = lambda x: F.rlike(x, F.lit(FILTER))
+    lines = lambda x: F.when(F.contains(x, F.lit("\n")), F.transform(F.filter(F.transform(F.filter(F.split(x, "\n"), has), normalise), has), identify)).otherwise(F.array().cast("array<string>"))
+    both = F.transform(pieces(text), lambda x: F.struct(normalise(x).alias("s"), lines(x).alias("parts")))
+    both = F.transform(F.filter(both, lambda x: has(x.s)), lambda x: F.struct(identify(x.s).alias("whole"), x.parts.alias("parts")))
+
+    def pick(x: Column) -> Column:
+        apart = F.exists(x.parts, lambda p: ~p.isin(*_LOOSE) & (p != x.whole)) | (x.whole.isin(*_LOOSE) & F.exists(x.parts, lambda p: p != "unknown"))
+        return F.when(apart, x.parts).otherwise(F.array(x.whole))
+
+    return F.flatten(F.transform(both, pick))
 
 
 def identify(sentence: Column) -> Column:
@@ -128,8 +159,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     empty where no rule applies.  Repeated rows are each returned; null and
     empty texts, and empty tables, give no row.
     """
-    hit = docs.select(F.col(key), F.translate(F.col(text).cast("string"), _UPPER, _LOWER).alias("__text")).where(F.rlike("__text", F.lit(WORDS)))
-    ids = hit.select(key, F.transform(sentences(F.col("__text")), identify).alias("ids")).where(F.size("ids") > 0)
+    hit = docs.select(F.col(key), F.translate(F.col(text).cast("string"), _UPPER, _LOWER).alias("__text")).where(F.rlike("__text", F.lit(FILTER)))
+    ids = hit.select(key, identifiers(F.col("__text")).alias("ids")).where(F.size("ids") > 0)
     seq = F.concat(F.lit(";"), F.array_join("ids", ";"), F.lit(";"))
     found = []
     for name, wants, unless in RULES:

@@ -171,6 +171,28 @@ def test_licenses(spark, text, ids, found):
     assert len(got) == 1 and got[0].licenses == found and (ids is None or got[0].sentence_ids == ids)
 
 
+_WRAPPED = {
+    "MIT": "MIT\n\nCopyright (c) 2020 A\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY. IN NO EVENT SHALL THE\nAUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright\n   notice, this list of conditions.\n2. Redistributions in binary form must reproduce the above\n   copyright notice.\n3. Neither the name of the holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n * Redistributions of source code must retain the above\n   copyright notice.\n * Redistributions in binary form must reproduce the\n   above copyright notice.",
+    "Apache-2.0": "// you may not use this file except in compliance\n// with the License.\n//\n// Unless required by applicable law or agreed to in writing, software\n// distributed under the License is distributed on an \"AS IS\" BASIS,\n// WITHOUT WARRANTIES OR CONDITIONS.",
+    "ISC": "/*\n * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby granted, provided that.\n */",
+    "GPL": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even more.",
+}
+
+
+@pytest.mark.parametrize("name", sorted(_WRAPPED))
+def test_license_wrapped(spark, name):
+    got = licenses.scan(frame(spark, [_WRAPPED[name], _WRAPPED[name].replace("\n", "\r\n")])).collect()
+    assert [x.licenses for x in got] == [name] * 2
+
+
+def test_license_lines_stay_apart(spark):
+    texts = ["// SPDX-License-Identifier: MIT\n// Copyright 2020 A\nint x", "words without a mark\nReleased under CC BY 4.0.", "Copyright (c) 2020 A\nAll rights reserved."]
+    got = licenses.scan(frame(spark, texts)).orderBy("doc_id").collect()
+    assert [x.sentence_ids for x in got] == ["spdx-mit;copyright", "cc-by", "copyright;rights-reserved"]
+
+
 def test_license_order_counts(spark):
     text = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software.\nThe software is provided as is, without warranty of any kind."
     assert licenses.scan(frame(spark, [text])).first().licenses == ""
