@@ -22,7 +22,7 @@ from .workspace import documents
 #: Words of the SQL's filter.
 WORDS = "licen[sc]e|copyright|spdx|permission|warrant|redistribut|all rights reserved|public domain|liable|copyleft|creative commons"
 #: Texts without any of these have no licence sentence; each pattern below contains one.
-FILTER = WORDS.replace(" ", "[^a-z0-9.]+")
+FILTER = (WORDS + r"|\bcc by\b|\bcc0\b|\bapache 2[.]0").replace(" ", "[^a-z0-9.]+")
 _CUT = "\x01"
 #: Newlines that end a sentence: after a colon, at a blank line, before a list item or the start of a known sentence.
 _ENDS = (

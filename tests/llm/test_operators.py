@@ -187,6 +187,22 @@ def test_license_wrapped(spark, name):
     assert [x.licenses for x in got] == [name] * 2
 
 
+def test_license_filter_passes_every_pattern(spark):
+    fill = (("(?:.* )?", ""), (".*", " x "), (" .+", " x"))
+    texts = ["Released under CC BY-SA 4.0.", "Available under CC0 1.0", "Distributed under Apache 2.0", "Provided under the CC-BY-NC-ND 4.0 license", "all rights\nreserved"]
+    for _, p in licenses.SENTENCES:
+        p = p.replace(licenses._S, "").replace(f"(?:{licenses._L}{licenses._U})?", "released under ").replace(licenses._L, "released ").replace(licenses._U, "under ").replace("released ?", "released ")
+        for a, b in fill:
+            p = p.replace(a, b)
+        p = re.sub(r"\(\?:[^()]*\)\?", "", p)  # what may be missing is
+        texts.append(re.sub(r"\(\?:([^()|]*)[^()]*\)", r"\1", p).replace("?", ""))
+    got = licenses.scan(frame(spark, texts)).orderBy("doc_id").collect()
+    assert [x.doc_id for x in got] == list(range(len(texts)))
+    assert [x.licenses for x in got[:5]] == ["CC-BY-SA", "CC0-1.0", "Apache-2.0", "CC-BY-NC-ND", "Proprietary"]
+    # "v. 2.0" is cut at its own dot
+    assert not [(t, x.sentence_ids) for t, x in zip(texts, got) if "unknown" in x.sentence_ids and "v. 2.0" not in t]
+
+
 def test_license_lines_stay_apart(spark):
     texts = ["// SPDX-License-Identifier: MIT\n// Copyright 2020 A\nint x", "words without a mark\nReleased under CC BY 4.0.", "Copyright (c) 2020 A\nAll rights reserved."]
     got = licenses.scan(frame(spark, texts)).orderBy("doc_id").collect()
