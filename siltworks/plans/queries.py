@@ -349,14 +349,24 @@ def balanced_units(spark, d):
 
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
-    n = F.least(X.estimated_tokens(F.col("text")), F.lit(4096)).cast("int")
+    n = X.estimated_tokens(F.col("text")).cast("int")
     return table(spark, d, "documents").select(F.sequence(F.lit(1), n).alias("tokens"), F.col("doc_id").cast("string").alias("source_id"))
 
 
 @query()
 def packed_sequences(spark, d):
-    packed, _ = packing.pack(_samples(spark, d), 4096, shards=4)
-    return packed.select("shard", "bin", F.size("tokens").alias("n_tokens"), "cu_seqlens", "source_ids")
+    """Packed sequences, and each overlength sample as a row without a bin."""
+    packed, over = packing.pack(_samples(spark, d), 4096, shards=4)
+    n = F.size("tokens")
+    over = over.select(F.lit(None).cast("int").alias("shard"), F.lit(None).cast("int").alias("bin"), n.alias("n_tokens"), F.array(F.lit(0), n).alias("cu_seqlens"), F.array("source_id").alias("source_ids"))
+    return packed.select("shard", "bin", n.alias("n_tokens"), "cu_seqlens", "source_ids").unionByName(over)
+
+
+@query(f"SELECT doc_id::VARCHAR AS source_id, CAST({TOKENS} AS INT) AS n, {TOKENS} > 4096 AS overlength FROM documents")
+def packed_all_members(spark, d):
+    """Every sample with its whole length, from packed_sequences' rows: in a bin, or overlength."""
+    each = F.transform("source_ids", lambda x, k: F.struct(x.alias("source_id"), (F.get(F.col("cu_seqlens"), k + 1) - F.get(F.col("cu_seqlens"), k)).alias("n")))
+    return packed_sequences(spark, d).select(F.explode(each).alias("x"), F.col("bin").isNull().alias("overlength")).select("x.source_id", "x.n", "overlength")
 
 
 @query(f"""WITH t AS (SELECT doc_id, lang, {TOKENS} AS n FROM documents) SELECT doc_id, lang, CAST(sum(n) OVER (PARTITION BY lang ORDER BY doc_id) - n AS BIGINT) AS start, CAST(sum(n) OVER (PARTITION BY lang ORDER BY doc_id) AS BIGINT) AS stop FROM t""")
@@ -553,7 +563,7 @@ def balanced_totals(spark, d):
 
 @query(f"""WITH t AS (SELECT doc_id::VARCHAR AS source_id, least({TOKENS}, 4096) AS n FROM documents) SELECT source_id, CAST(n AS INT) AS n FROM t""")
 def packed_members(spark, d):
-    """Every sample of the packing with its length, read back from the sequences' offsets."""
-    packed, _ = packing.pack(_samples(spark, d), 4096, shards=4)
+    """Every sample, cut to the capacity as its SQL asks, read back from the sequences' offsets; packed_all_members cuts nothing."""
+    packed, _ = packing.pack(_samples(spark, d).withColumn("tokens", F.slice("tokens", 1, 4096)), 4096, shards=4)
     each = F.transform("source_ids", lambda x, k: F.struct(x.alias("source_id"), (F.get(F.col("cu_seqlens"), k + 1) - F.get(F.col("cu_seqlens"), k)).alias("n")))
     return packed.select(F.explode(each).alias("x")).select("x.source_id", "x.n")
