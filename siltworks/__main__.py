@@ -79,7 +79,7 @@ def main() -> None:
     for name, value in (("--model", "bpe"), ("--configs", None), ("--name", None), ("--text-field", "text")):
         t.add_argument(name, default=value)
     t.add_argument("--vocab-size", type=int, default=65536)
-    t.add_argument("--max-samples", type=int, default=tokens.TRAIN_TEXTS)
+    t.add_argument("--max-samples", type=int, default=0)
     t.set_defaults(run=train)
     e = sub.add_parser("evaluate-tokenizer", aliases=["compare-tokenizers"])
     e.add_argument("--corpus", nargs="+", required=True)

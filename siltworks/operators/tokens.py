@@ -17,8 +17,6 @@ from ..session import Workspace, ship
 from ..sources.sinks import write_json
 
 MODEL_TYPES = ("bpe", "wordpiece", "unigram")
-#: Texts a tokenizer is trained on at most, unless the caller says otherwise.
-TRAIN_TEXTS = 1_000_000
 _SPACE = "▁"
 _LOADED: dict = {}
 
@@ -50,8 +48,8 @@ def create(model_type: str = "bpe", vocab_size: int = 65536, special_tokens=V.SP
     return t, trainer
 
 
-def train(texts: DataFrame, text: str = "text", model_type: str = "bpe", vocab_size: int = 65536, special_tokens=V.SPECIAL_TOKENS, max_samples: int | None = TRAIN_TEXTS):
-    """Train on a table's texts, streamed to the driver a partition at a time, at most max_samples of them."""
+def train(texts: DataFrame, text: str = "text", model_type: str = "bpe", vocab_size: int = 65536, special_tokens=V.SPECIAL_TOKENS, max_samples: int | None = None):
+    """Train on a table's texts, streamed to the driver a partition at a time: all, or max_samples of them."""
     t, trainer = create(model_type, vocab_size, special_tokens)
     rows = texts.select(F.col(text)).where(F.length(text) > 0)
     rows = rows.limit(max_samples) if max_samples else rows

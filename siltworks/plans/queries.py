@@ -428,6 +428,14 @@ def bpe_round_trip(spark, d):
     return tokens.decode(tokens.tokenize(docs, t), t).select("source_id", "text")
 
 
+@query("SELECT CAST(doc_id AS VARCHAR) AS source_id, text FROM documents WHERE length(text) > 0")
+def bpe_document_round_trip(spark, d):
+    """Encoded and decoded by a tokenizer that is trained on all documents."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "source")
+    t = tokens.train(docs, vocab_size=2000)
+    return tokens.decode(tokens.tokenize(docs, t), t).select("source_id", "text")
+
+
 @query()
 def tokenized_totals(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "source")

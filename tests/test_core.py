@@ -404,3 +404,12 @@ def test_zstd_and_config(spark, tmp_path):
     assert P.load_config(None, P.read_config(str(tmp_path / "c.json"))) == {"quality_policies": {"web": {"keep_min": 1}}}
     with pytest.raises(FileNotFoundError):
         P.read_config(str(tmp_path / "none.json"))
+
+
+def test_tokenizer_trains_on_all_texts(spark):
+    from siltworks.operators import tokens
+
+    n = 1_000_000  # the texts that were read at most
+    rows = spark.range(0, n + 100, 1, 1)
+    t = tokens.train(rows.selectExpr(f"if(id < {n}, 'a', 'qqqq') AS text"), vocab_size=400)
+    assert t.token_to_id("qqqq") is not None
