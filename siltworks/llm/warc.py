@@ -1,13 +1,15 @@
 """WARC archives as chunked record tables.
 
 A payload is a run of rows (record id, chunk number, bytes) of at most
-``CHUNK`` bytes, so no task holds a large record as a whole.  Each row is one
-WARC/1.1 record on disk: a payload of one chunk is an ordinary record, a longer
-one is a segmented record, whose first segment names the kind and whose others
-are ``continuation`` records.  Spark's text writer lays the records down and
-its reader finds them again by the bytes between two records, so archives live
-in whatever store Spark reads; without compression a file splits over tasks.
-Chunks are cut so that no payload holds those bytes.
+``CHUNK`` bytes, so past the writer's input no task holds a large record as a
+whole.  Each row is one WARC/1.1 record on disk: a payload of one chunk is an
+ordinary record, a longer one is a segmented record, whose first segment names
+the kind and whose others are ``continuation`` records.  Spark's text writer
+lays the records down and its reader finds them again by the bytes between two
+records, so archives live in whatever store Spark reads; without compression a
+file splits over tasks.  Chunks are cut so that no payload holds those bytes.
+Archives of others, WARC/1.0 and WARC/1.1, are read by the same bytes; a record
+whose block holds them raises an error, since it is shorter than its length.
 
 Digests are incremental: a reader hashes each chunk as it comes, and only
 records of several segments are brought together, ordered by segment.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,26 +33,41 @@ CHUNK = 64 * 1024
 REVISIT_BYTES = 1000
 DATE = "2024-01-01T00:00:00Z"
 VERSION = "WARC/1.1\r\n"
-#: Between two records; a reader cuts here and no chunk contains it.
-BETWEEN = "\r\n\r\n" + VERSION
+#: Between two records, whatever the minor version; a reader cuts here and no chunk contains it.
+BETWEEN = "\r\n\r\nWARC/1."
 _HOLD = len(BETWEEN) - 1
+_LINE = re.compile(rb"(?:WARC/1\.)?[0-9]\r\n")
+#: Copies of one digest are dealt to so many keys of the join.
+SALT = 32
 
 
 def payload_table(pages: DataFrame, key: str = "page_id", payload: str = "html", url: str = "url") -> DataFrame:
-    """(record_id, url, payload binary): null payloads are empty, line ends in a URL are escaped."""
+    """(record_id, url, payload binary): null payloads are empty, null URLs too, line ends in a URL are escaped.
+
+    Only these three columns are read, whatever the names of the others; rows
+    without a key or with a repeated one stay as they are.
+    """
     clean = F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "[\\x00-\\x20\\x7f]", "%20")
     return pages.select(F.col(key).cast("bigint").alias("record_id"), clean.alias("url"), F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("payload"))
 
 
 def revisits(records: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """(record_id, refers_to) of records whose payload another one with a larger id has.
+    """records with refers_to: the largest id that has an equal payload, where the record's own is smaller, else null.
 
     Equal means equal SHA-1, length and 64-bit hash.  Groups are reduced to
-    their largest id before the shuffle; a group of any size costs a row a task.
+    their largest id before the shuffle, and their rows are dealt to ``SALT``
+    keys, so a payload that many records share is no hot key.  Short payloads
+    and records without an id take no part.  Rows that repeat an id are told
+    apart by their payload; all rows of the largest id are responses.
     """
-    d = records.where(F.length("payload") >= least).select("record_id", F.sha1("payload").alias("sha1"), F.length("payload").alias("n"), F.xxhash64("payload").alias("h"))
-    top = d.groupBy("sha1", "n", "h").agg(F.max("record_id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    return d.join(top, ["sha1", "n", "h"]).where("record_id < refers_to").select("record_id", "refers_to").distinct()
+    own = {"sha1": F.sha1("payload"), "n": F.length("payload"), "h": F.xxhash64("payload")}
+    may = F.coalesce((F.length("payload") >= least) & F.col("record_id").isNotNull(), F.lit(False))
+    top = records.where(may).select("record_id", *(c.alias(k) for k, c in own.items())).groupBy(*own).agg(F.max("record_id").alias("top"), F.count("*").alias("copies")).where("copies > 1")
+    top = top.select(*(F.col(k).alias(f"of_{k}") for k in own), "top", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("of_salt"))
+    long = records.where(may).withColumns(own).withColumn("salt", F.pmod(F.xxhash64("record_id", "url"), F.lit(SALT)).cast("int"))
+    on = [F.col(k) == F.col(f"of_{k}") for k in (*own, "salt")]
+    found = long.join(top, on, "left").withColumn("refers_to", F.when(F.col("record_id") < F.col("top"), F.col("top")))
+    return found.select(*records.columns, "refers_to").unionByName(records.where(~may).withColumn("refers_to", F.lit(None).cast("bigint")))
 
 
 def _crlf(*lines: Column) -> Column:
@@ -66,8 +84,8 @@ def _own(*more: Column) -> Column:
 
 
 def _id(urn: str) -> int | None:
-    x = urn.strip("<>").rpartition(":")[2].partition("/")[0]
-    return None if x == "null" else int(x)
+    m = re.fullmatch(r"<?urn:page:(-?\d+)(?:/.*)?>?", urn)
+    return int(m[1]) if m else None
 
 
 def chunk_table(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -80,13 +98,16 @@ def chunk_table(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
         raise ValueError(f"a chunk must be longer than {_HOLD} bytes")
     size = F.length("payload")
     regular = F.when(size == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), size - 1, F.lit(chunk)))
-    # byte positions of separators: hexadecimal digits, so that no text decoding takes part
-    at = F.transform(F.slice(F.split(F.hex("payload"), F.hex(F.lit(BETWEEN)), -1), 1, 1 << 30), lambda x: F.length(x).cast("int"))
     holds = F.contains(F.col("payload"), F.lit(BETWEEN.encode()))
-    inner = F.aggregate(
-        F.slice(at, 1, F.size(at) - 1), F.struct(F.lit(0).alias("p"), F.array().cast("array<int>").alias("cuts")),
-        lambda a, n: F.struct((a.p + n + 2 * len(BETWEEN)).alias("p"), F.concat(a.cuts, F.array(((a.p + n) / 2 + 1).cast("int"))).alias("cuts")),
-    ).cuts
+
+    def inside(off: Column) -> Column:
+        """Places behind the first byte of separators that begin in the chunk at off; one chunk in hexadecimal at a time."""
+        digits = F.split(F.hex(F.substring(F.col("payload"), off + 1, F.lit(chunk + _HOLD))), F.hex(F.lit(BETWEEN)), -1)
+        gaps = F.transform(F.slice(digits, 1, F.size(digits) - 1), lambda x: F.length(x).cast("int"))
+        seen = F.struct(off.cast("int").alias("p"), F.array().cast("array<int>").alias("cuts"))
+        return F.aggregate(gaps, seen, lambda a, n: F.struct((a.p + n / 2 + len(BETWEEN)).cast("int").alias("p"), F.concat(a.cuts, F.array((a.p + n / 2 + 1).cast("int"))).alias("cuts"))).cuts
+
+    inner = F.flatten(F.transform(regular, inside))
     cuts = F.when(holds, F.array_sort(F.array_union(regular, inner))).otherwise(regular)
     r = records.withColumn("total", size).withColumn("digest", F.sha1("payload")).withColumn("cuts", cuts).withColumn("chunks", F.size("cuts"))
     r = r.select("*", F.posexplode("cuts").alias("number", "offset"))
@@ -120,11 +141,7 @@ def record_lines(chunks: DataFrame) -> DataFrame:
 
 def write(records: DataFrame, path: str, chunk: int = CHUNK, least: int = REVISIT_BYTES, codec: str = "none") -> None:
     """Write (record_id, url, payload) as WARC files under path; repeated rows are written each."""
-    back = revisits(records, least)
-    # records without an id are no revisits, and would all meet in one task of the join
-    named = records.where("record_id IS NOT NULL").join(back, "record_id", "left")
-    nameless = records.where("record_id IS NULL").withColumn("refers_to", F.lit(None).cast("bigint"))
-    marked = named.unionByName(nameless).withColumn("row", F.monotonically_increasing_id())
+    marked = revisits(records.select("record_id", "url", "payload"), least).withColumn("row", F.monotonically_increasing_id())
     # a revisit keeps the digest and length of its payload and carries no bytes
     full = chunk_table(marked.where("refers_to IS NULL"), chunk)
     refs = marked.where("refers_to IS NOT NULL").select(
@@ -135,8 +152,8 @@ def write(records: DataFrame, path: str, chunk: int = CHUNK, least: int = REVISI
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     """Headers (names in lower case) and block of one record, with or without its version line."""
-    if raw.startswith(VERSION.encode()):
-        raw = raw[len(VERSION) :]
+    if line := _LINE.match(raw):
+        raw = raw[line.end() :]
     head, found, block = raw.partition(b"\r\n\r\n")
     if not found:
         raise ValueError(f"a WARC record without the end of its header: {raw[:80]!r}")
@@ -157,10 +174,19 @@ def digest_matches(label: str, data: bytes) -> bool:
     return value.lower() == d.hex() or value.upper() == base64.b32encode(d).decode()
 
 
+def _hex(label: str) -> str:
+    """The value of a labelled SHA-1 in hexadecimal digits, which base 32 is turned into."""
+    value = label.rpartition(":")[2]
+    return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The chunked record table of archives: record_id, type, url, refers_to, number, several, data.
+    """The chunked record table of archives: own, record_id, type, url, refers_to, number, several, digest, total, data.
 
-    Every block digest is checked; a damaged record raises an error.
+    Every block digest is checked; a damaged record raises an error.  record_id
+    is the number in this package's own names, and null for other names, which
+    `own` has in full; a record without a target has a null url.  Archives
+    without a record give no row.
     """
     ship(spark)
     raw = spark.read.option("lineSep", BETWEEN).text(path).select(F.col("value").cast("binary"))
@@ -179,7 +205,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     own = h["warc-segment-origin-id"] if number > 1 else h["warc-record-id"]
                     ref = h.get("warc-refers-to")
                     rows.append((
-                        own, _id(own), h["warc-type"], h["warc-target-uri"], _id(ref) if ref else None, number, "warc-segment-number" in h, h.get("warc-payload-digest", "").rpartition(":")[2], int(h.get("x-payload-length", -1)), block,
+                        own, _id(own), h["warc-type"], h.get("warc-target-uri"), _id(ref) if ref else None, number, "warc-segment-number" in h, _hex(h.get("warc-payload-digest", "")), int(h["x-payload-length"]) if "x-payload-length" in h else None, block,
                     ))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), _KINDS)], _READ)
@@ -199,7 +225,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def assemble(chunks: DataFrame) -> DataFrame:
     """(record_id, payload_bytes, payload_digest, record_type, refers_to), one row a record.
 
-    Records of one chunk are done where they lie.  Segments are sorted by
+    A revisit has the digest and length of the payload it refers to, whatever
+    the size; records with one id are told apart by `own`, and an empty table
+    gives none.  Records of one chunk are done where they lie.  Segments are sorted by
     record and number, and hashed one after another as they stream by.
     """
     single = chunks.where("NOT several").select(
@@ -211,7 +239,7 @@ def assemble(chunks: DataFrame) -> DataFrame:
         own, rid, number, size, sha, label = None, None, 0, 0, hashlib.sha1(), ""
 
         def close() -> tuple:
-            if sha.hexdigest() != label:
+            if label and sha.hexdigest() != label:
                 raise ValueError(f"record {own}: its segments differ from the payload digest")
             return rid, size, sha.hexdigest()
 

@@ -1,5 +1,6 @@
 """The large-corpus operators against brute force, on small rows and edge cases."""
 
+import base64
 import hashlib
 import random
 import re
@@ -304,6 +305,38 @@ def test_warc_files_are_plain_records(spark):
     assert sorted(found) == [b"other", b"payload"]
 
 
+def test_warc_repeated_ids(spark):
+    """Rows of one id with different payloads: each refers to the largest id of its own payload, and stays one row."""
+    a, b = "a" * 1500, "b" * 2500
+    rows = [(1, "u", a), (1, "u", b), (2, "u", a), (3, "u", b), (3, "v", b), (4, "u", "a" * 999), (5, "u", "a" * 999), (None, "u", a), (None, None, None)]
+    _, table = read_back(spark, pages(spark, rows))
+    got = sorted((tuple(x) for x in warc.assemble(table).collect()), key=repr)
+    assert got == expect_warc(rows) and len(got) == len(rows)
+    assert [x[4] for x in got if x[0] == 1] == [2, 3]
+
+
+def test_warc_hot_payload_and_other_columns(spark):
+    rows = pages(spark, [(k, f"u{k}", "hot " * 400 if k % 3 else str(k) * 1000) for k in range(300)])
+    for name in ("row", "sha1", "n", "h", "salt", "top", "cuts", "record_id", "refers_to", "data"):
+        rows = rows.withColumn(name, F.lit("x"))
+    got = warc.assemble(read_back(spark, rows)[1]).collect()
+    want = expect_warc([(r.page_id, r.url, r.html) for r in rows.collect()])
+    assert sorted((tuple(x) for x in got), key=repr) == want
+
+
+def test_warc_archives_of_others(spark):
+    """WARC/1.0 records with base 32 digests, names of their own and no target."""
+    ws = Workspace(spark, "foreign")
+    one = "WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:0>\r\nContent-Length: 3\r\n\r\na:b"
+    label = base64.b32encode(hashlib.sha1(b"hello\n").digest()).decode()
+    two = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Target-URI: http://a\r\nWARC-Block-Digest: sha1:{label}\r\nWARC-Payload-Digest: sha1:{label}\r\nContent-Length: 6\r\n\r\nhello\n"
+    spark.createDataFrame([(one + "\r\n\r\n" + two + "\r\n\r",)], "value string").write.text(ws.path("w"))
+    got = {r.own: r for r in warc.read(spark, ws.path("w")).collect()}
+    assert bytes(got["<urn:uuid:1>"].data) == b"hello\n" and got["<urn:uuid:1>"].digest == hashlib.sha1(b"hello\n").hexdigest() and got["<urn:uuid:1>"].record_id is None
+    assert bytes(got["<urn:uuid:0>"].data) == b"a:b" and got["<urn:uuid:0>"].url is None
+    assert warc.assemble(warc.read(spark, ws.path("w"))).where("record_type = 'response'").first().payload_bytes == 6
+
+
 def test_warc_damage_and_empty(spark):
     with pytest.raises(ValueError):
         warc.parse(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc")
