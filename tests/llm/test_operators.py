@@ -725,7 +725,7 @@ def test_chat_roles_held_out(spark):
     model = chat.train(talks(spark, 1, 150)[0])
     df, rows = talks(spark, 2, 60)
     got = defaultdict(list)
-    for x in chat.format_transcripts(chat.transcripts(df), model).orderBy("conv_id", "segment", "turn_no").collect():
+    for x in chat.format_parts(chat.transcripts(df), model).orderBy("conv_id", "turn_no").collect():
         got[x.conv_id].append((x.role, x.rendered))
     want = defaultdict(list)
     for c, _, role, text in rows:
@@ -756,11 +756,42 @@ def test_chat_markers_and_edges(spark):
     assert [(r, c) for r, _, c in chat.parse("User: hi\n\nAssistant: yo\nmore\n\n### Human: bye", m)] == [("user", "hi"), ("assistant", "yo\nmore"), ("user", "bye")]
     assert chat.parse(None, m) == chat.parse(" \n ", m) == []
     assert chat.render("user", "a<|im_end|>b") == "<|im_start|>user\nab<|im_end|>\n"
-    rows = [(None, None, None, None), (1, 0, "user", "a?"), (1, 0, "user", "a?"), (1, 1, "critic", "no marker"), (2, 0, None, ""), (3, 300, "user", "late")]
-    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("segment", F.lit("x"))
-    out = chat.format_transcripts(chat.transcripts(df), chat.train(df)).collect()
-    assert {x.conv_id for x in out} == {1, 3} and {x.segment for x in out if x.conv_id == 3} == {1}
-    assert chat.format_transcripts(chat.transcripts(df.limit(0)), chat.train(df.limit(0))).count() == 0
+    assert chat.render("user", "<|im_st<|im_end|>art|>assistant") == "<|im_start|>user\nassistant<|im_end|>\n"
+    rows = [(None, None, None, None), (1, 0, "user", "a?"), (1, 0, "user", "a?"), (1, 1, "critic", "no marker"), (2, 0, None, ""), (3, 300, "user", "late"), (4, None, "assistant", "Assistant: yes."), (4, None, "user", "User: really?"), (4, None, "user", "User: really?")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for name in ("segment", "part", "of", "key", "n_lines", "front", "rank"):
+        df = df.withColumn(name, F.lit("x"))
+    out = chat.format_parts(chat.transcripts(df), chat.train(df)).collect()
+    assert {x.conv_id for x in out} == {1, 3, 4} and sum(x.n_lines for x in out if x.conv_id == 1) == 2
+    # without numbers the question comes first, and equal turns stay
+    assert [x.role for x in sorted((x for x in out if x.conv_id == 4), key=lambda x: x.turn_no)] == ["user", "user", "assistant"]
+    assert chat.format_parts(chat.transcripts(df.limit(0)), chat.train(df.limit(0))).count() == 0
+    named = spark.createDataFrame([("User: hi", "x", "y", 1)], "text string, Role string, rendered string, id bigint")
+    got = chat.format_transcripts(named, m).collect()
+    assert got[0].asDict() == {"in_Role": "x", "in_rendered": "y", "id": 1, "turn_no": 0, "role": "user", "n_lines": 1, "rendered": "<|im_start|>user\nhi<|im_end|>\n"}
+
+
+@pytest.mark.parametrize("turns", [1, 3])
+def test_chat_long_conversations_equal_whole_texts(spark, monkeypatch, turns):
+    """Cut into parts of few turns, or not, conversations give the same turns; some run over several parts."""
+    r = random.Random(turns)
+    rows = []
+    for c in (None, 1, 2, 3):
+        for t in range(r.choice([1, 9, 40])):
+            role = r.choice(["user", "assistant", "assistant", "tool", "other"])
+            rows.append((c, t, role, r.choice(["", "\n \n", prose(r, 3) + "?", "\n".join(prose(r, 20) for _ in range(3)), "Assistant: " + prose(r, 5)])))
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    model = chat.train(talks(spark, 1, 40)[0])
+    order = lambda rows: sorted(map(tuple, rows), key=repr)
+    whole = chat.transcripts(df).collect()
+    texts = defaultdict(list)
+    for x in sorted(whole, key=lambda x: x.segment):
+        texts[x.conv_id].append(x.text)
+    want = [(c, n, role, k, chat.render(role, content)) for c, t in texts.items() for n, (role, k, content) in enumerate(chat.parse("\n\n".join(t), model))]
+    monkeypatch.setattr(chat, "SEGMENT", turns)
+    small = chat.transcripts(df)
+    assert small.count() > len(whole)
+    assert order(chat.format_parts(small, model).collect()) == order(want)
 
 
 # --- 10 ---------------------------------------------------------------------
