@@ -88,10 +88,28 @@ def slices(offsets: np.ndarray, limit: int = SLICE):
         i = j
 
 
-def _spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+def lone(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the characters of scripts that put no blanks between words.
+
+    These are Thai, Lao, Myanmar and Khmer, and all from U+3000 to U+9FFF, of
+    full width, or in the planes of rarer ideographs.
+    """
+    at = np.flatnonzero(data >= 0xE0)
+    at = at[at + 2 < len(data)]
+    a, b = data[at], data[at + 1]
+    three = ((a >= 0xE3) & (a <= 0xE9)) | ((a == 0xE0) & (b >= 0xB8) & (b <= 0xBB)) | ((a == 0xE1) & ((b <= 0x82) | (b == 0x9E) | (b == 0x9F))) | ((a == 0xEF) & ((b == 0xBC) | (b == 0xBD)))
+    four = (a == 0xF0) & (b >= 0xA0) & (b <= 0xB3)
+    start = at[three | four]
+    return start, np.minimum(start + np.where(four[three | four], 4, 3), len(data))
+
+
+def _spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE, alone: bool = False) -> tuple[np.ndarray, np.ndarray]:
     solid = ~space[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
+    if alone:
+        for edge in lone(data):
+            first[edge] = True
     before = np.empty(len(data), bool)
     before[:1] = False
     before[1:] = solid[:-1]
@@ -103,14 +121,16 @@ def _spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) ->
     return start, end
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER_BYTE, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER_BYTE, space: np.ndarray = SPACE, alone: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words and, by row, where its words begin (one more at the end).
 
+    With alone, each character that `lone` finds is a word.
+
     Long rows are cut behind white space, so the memory beside the hashes
     stays near SLICE unless one word is longer than that.
     """
     if len(data) <= 2 * SLICE:
-        start, end = _spans(data, offsets, space)
+        start, end = _spans(data, offsets, space, alone)
         return span_hash(prefix_hash(table[data]), start, end), np.searchsorted(start, offsets)
     found, at, n = [], [0], 0
     for i, j in zip(offsets[:-1], offsets[1:]):
@@ -122,7 +142,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = LOWER
                     gap = np.flatnonzero(space[data[i + SLICE : j]])
                 k = i + SLICE + int(gap[0]) if len(gap) else j
             piece = data[i:k]
-            start, end = _spans(piece, np.array([0, k - i]), space)
+            start, end = _spans(piece, np.array([0, k - i]), space, alone)
             found.append(span_hash(prefix_hash(table[piece]), start, end))
             n += len(start)
             i = k

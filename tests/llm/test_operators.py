@@ -147,6 +147,38 @@ def test_parts_of_an_item(spark):
     assert {(x.doc_id, x.item_id) for x in got} == {(0, 1), (3, 2), (4, 1)}
 
 
+def test_leaks_without_blanks(spark):
+    """Items in scripts without blanks are found, exact or with some characters changed, and short common runs are not."""
+    r = random.Random(5)
+    signs = [chr(0x4E00 + 37 * k) for k in range(300)]
+    kana, thai = [chr(0x3042 + k) for k in range(60)], [chr(0x0E01 + k) for k in range(40)]
+    text = lambda a, n: "".join(r.choice(a) for _ in range(n))
+    items = [(1, text(signs, 40)), (2, text(kana, 50) + "。"), (3, text(thai, 60)), (4, "\u4e2d\u56fd\u4eba"), (5, text(signs, 300))]
+    edited = "".join("\u4e00" if k % 9 == 4 else c for k, c in enumerate(items[0][1]))
+    docs = [text(signs, 200) + items[0][1] + text(signs, 90), text(kana, 80) + items[1][1], items[2][1], text(signs, 50) + edited, "abc " + items[4][1][100:160] + " def", text(signs, 60) + items[3][1] + items[0][1][:12], text(kana, 400), items[4][1][:20] + text(signs, 300)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.leaks(frame(spark, docs), bench).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == {(0, 1), (1, 2), (2, 3), (3, 1), (4, 5)}
+    assert [x.doc_id for x in decontaminate.clean(frame(spark, docs), bench).orderBy("doc_id").collect()] == [5, 6, 7]
+
+
+def test_leaks_behind_a_shared_prompt(spark):
+    """A prompt of many items is no leak; an item behind it is one, with or without the prompt; copies of an item stay items."""
+    r = random.Random(11)
+    prompt = prose(r, 15)
+    items = [(k, f"{prompt} {prose(r, 25)}") for k in range(60)] + [(100 + k, "the only text of many rows, which are one and the same item") for k in range(9)]
+    docs = [f"{prose(r, 60)} {prompt} {prose(r, 60)}" for _ in range(20)] + [prose(r, 30) + " " + items[7][1], prose(r, 30) + " " + " ".join(items[8][1].split()[15:]), prose(r, 20) + " " + items[100 - 40][1]]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.leaks(frame(spark, docs), bench).collect()}
+    assert got == {(20, 7), (21, 8)} | {(22, 100 + k) for k in range(9)}
+
+
+def test_leaks_equal_key_names(spark):
+    docs = frame(spark, ["ba de fi go hu ka lo mi nu po ba fi"]).withColumnRenamed("doc_id", "id")
+    got = decontaminate.leaks(docs, spark.createDataFrame([(5, "ba de fi go hu ka lo mi")], "Id bigint, text string"), key="id", item="Id")
+    assert got.columns[:2] == ["id", "benchmark_Id"] and [tuple(x)[:2] for x in got.collect()] == [(0, 5)]
+
+
 def test_leaks_edges(spark):
     df, rows = odd(spark)
     bench = spark.createDataFrame([(1, "no such words are in there at all")], "item_id bigint, text string")
