@@ -429,6 +429,26 @@ def test_mix_edges(spark):
     assert mixing.mix(frame(spark, [None, "", " "])).agg(F.sum("taken")).first()[0] == 0
     out = mixing.mixed_documents(df)
     assert "mix_copies" in out.columns and len(set(out.columns)) == len(out.columns)
+    out = mixing.mixed_documents(df.withColumn("mix_size", F.lit(1)).withColumn("MIX_COPIES", F.lit("x")))
+    assert out.columns[-3:] == ["mix_mix_copies", "mix_mix_size", "mix_target"] and Workspace(spark, "clash").save(out, "x").count() == out.count()
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_mix_null_and_repeated_keys(spark, key):
+    """A source whose documents have no key, or one key, is cut like any other; documents are as the query says."""
+    r = random.Random(2)
+    rows = [(key if k % 3 else k, prose(r, r.randint(3, 60)), "ab"[k % 3 > 0]) for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    sums = mixing.mix(df).groupBy("source_size").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert len(sums) == 2 and all(0.98 * x.target <= x.taken <= x.target for x in sums)
+    out = mixing.mixed_documents(df).groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("copies") * F.col("size")).alias("taken")).collect()
+    assert sorted((x.target, x.taken) for x in out) == sorted((x.target, x.taken) for x in sums)
+
+
+def test_mixed_documents_join_no_texts(spark):
+    """Texts meet one row a source; no exchange holds them."""
+    plan = mixing.mixed_documents(frame(spark, [prose(random.Random(k), 30) for k in range(20)]))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and not re.search(r"Exchange hashpartitioning\(.*doc_id", plan)
 
 
 # --- 6 ----------------------------------------------------------------------
