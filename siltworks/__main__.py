@@ -6,8 +6,6 @@ import argparse
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from .functions import values as V
 from .operators import tokens
 from .plans import pipeline as P
@@ -50,14 +48,11 @@ def evaluate(a: argparse.Namespace) -> None:
 def tokenize(a: argparse.Namespace) -> None:
     spark = session()
     t = tokens.load(a.tokenizer)
-    if a.corpus[0].endswith(".parquet"):
-        rows = readers.read_parquet_text(spark, a.corpus, a.text_field)
-    else:
-        data = readers.read_jsonl_lenient(spark, a.corpus)
-        f = readers.fields_of(data)
-        rows = data.select(f.first("id").alias("id"), f.first("source_id").alias("source_id"), f.first("source").alias("source"), F.col("text"))
-    tokens.tokenize(rows, t).write.mode("overwrite").parquet(a.output)
+    rows = tokens.tokenize_files(spark, t, a.corpus, a.text_field, a.max_files, a.max_tokens)
+    rows.drop("file").write.mode("overwrite").parquet(a.output)
     total = tokens.totals(spark.read.parquet(a.output)).first()
+    if not total.records:
+        raise SystemExit(f"no record with a text in {a.corpus}")
     sinks.write_json({"tokenizer": a.tokenizer, "records": total.records, "tokens": total.tokens}, a.meta or "tokens_meta.json")
     print(f"{total.records} records, {total.tokens} tokens")
 
@@ -93,6 +88,8 @@ def main() -> None:
     for name in ("--tokenizer", "--output"):
         k.add_argument(name, required=True)
     k.add_argument("--text-field", default="text")
+    k.add_argument("--max-files", type=int, default=0)
+    k.add_argument("--max-tokens", type=int, default=0)
     k.add_argument("--meta")
     k.set_defaults(run=tokenize)
     a = top.parse_args()

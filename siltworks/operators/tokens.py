@@ -6,14 +6,17 @@ import json
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from ..functions import values as V
 from ..functions.text import strip_py
 from ..session import Workspace, ship
+from ..sources.readers import corpus_files, numbered, read_records
 from ..sources.sinks import write_json
 
 MODEL_TYPES = ("bpe", "wordpiece", "unigram")
@@ -87,7 +90,11 @@ def encode(texts: DataFrame, tokenizer, text: str = "text", out: str = "tokens")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         t = _tokenizer(state.value)
         for s in batches:
-            yield pd.Series([None if x is None else t.encode(x).ids for x in s])
+            rows = s.tolist()
+            for k in range(0, len(rows), 64):
+                coded = iter(t.encode_batch_fast([x for x in rows[k : k + 64] if x is not None]))
+                rows[k : k + 64] = [None if x is None else np.array(next(coded).ids, np.int32) for x in rows[k : k + 64]]
+            yield pd.Series(rows, dtype=object)
 
     return texts.withColumn(out, ids(F.col(text)))
 
@@ -99,7 +106,7 @@ def decode(tokens: DataFrame, tokenizer, ids: str = "tokens", out: str = "text")
     @F.pandas_udf("string")
     def run(s: pd.Series) -> pd.Series:
         t = _tokenizer(state.value)
-        return pd.Series([None if x is None else t.decode([int(i) for i in x]) for x in s])
+        return pd.Series([None if x is None else t.decode(np.asarray(x).tolist()) for x in s], dtype=object)
 
     return tokens.withColumn(out, run(F.col(ids)))
 
@@ -107,13 +114,48 @@ def decode(tokens: DataFrame, tokenizer, ids: str = "tokens", out: str = "text")
 def tokenize(texts: DataFrame, tokenizer, text: str = "text", seq: str | None = None, stem: str = "part") -> DataFrame:
     """(source_id, tokens, n_tokens, source): source_id is the id, or the source_id, or stem:number."""
     own = [F.col(c).cast("string") for c in ("id", "source_id") if c in texts.columns]
-    number = F.col(seq) if seq else F.monotonically_increasing_id()
-    name = F.coalesce(*(F.nullif(c, F.lit("")) for c in own), F.concat(F.lit(f"{stem}:"), number.cast("string")))
+    texts = texts.where(F.length(text) > 0)
+    texts = texts.withColumn("__n", F.col(seq)) if seq else numbered(texts, "__n")
+    name = F.coalesce(*(F.nullif(c, F.lit("")) for c in own), F.concat(F.lit(f"{stem}:"), F.col("__n").cast("string")))
     source = F.coalesce(F.col("source").cast("string"), F.lit("")) if "source" in texts.columns else F.lit("")
-    rows = encode(texts.where(F.length(text) > 0).withColumns({"__id": name, "__source": source}), tokenizer, text)
+    rows = encode(texts.withColumns({"__id": name, "__source": source}), tokenizer, text)
     return rows.select(F.col("__id").alias("source_id"), "tokens", F.size("tokens").alias("n_tokens"), F.col("__source").alias("source"))
 
 
+def tokenize_files(spark: SparkSession, tokenizer, paths: list[str], text: str | None = "text", max_files: int = 0, max_tokens: int = 0) -> DataFrame:
+    """(source_id, tokens, n_tokens, source, file) of files and folders, in path order until a limit is reached; 0 is no limit.
+
+    A record without an id or source gets them from its file's name and its
+    number there.  Files are encoded some at a time where tokens are limited:
+    so many that their bytes could make the rest; the file that reaches the
+    limit is in.
+    """
+    files = corpus_files(spark, paths).orderBy("path")
+    left = [(r.path, r.size) for r in (files.limit(max_files) if max_files else files).collect()]
+    if not left:
+        raise FileNotFoundError(f"no file to read in {paths}")
+    ws = Workspace(spark, "tokenize")
+    out, had, k = None, 0, 0
+    while left and (not max_tokens or had < max_tokens):
+        n = len(left)
+        if max_tokens:
+            sums, n = 0, 0
+            while n < len(left) and (n == 0 or sums < 4 * (max_tokens - had)):
+                sums, n = sums + left[n][1], n + 1
+        rows = read_records(spark, [p for p, _ in left[:n]], text)
+        stem = F.regexp_extract("file", "([^/]+?)(?:[.][^./]*)?$", 1)
+        rows = rows.select(F.coalesce("source_id", F.concat(stem, F.lit(":"), F.col("number").cast("string"))).alias("__id"), F.coalesce("source", stem).alias("source"), "file", "text")
+        part = encode(rows, tokenizer, "text").select(F.col("__id").alias("source_id"), "tokens", F.size("tokens").alias("n_tokens"), "source", "file")
+        if max_tokens:
+            part = ws.save(part, f"part{k}")
+            per_file = part.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
+            part = part.join(files_within(per_file, max_tokens=max_tokens - had).select("file"), "file", "left_semi").select(*part.columns)
+            had += part.agg(F.sum("n_tokens")).first()[0] or 0
+        out = part if out is None else out.unionByName(part)
+        left, k = left[n:], k + 1
+    return out
+
+
 def totals(tokenized: DataFrame) -> DataFrame:
     """One row: records and tokens."""
     return tokenized.agg(F.count("*").alias("records"), F.coalesce(F.sum("n_tokens"), F.lit(0)).cast("bigint").alias("tokens"))
@@ -130,6 +172,32 @@ def files_within(per_file: DataFrame, max_files: int | None = None, max_tokens:
     return df.drop("__n", "__before")
 
 
+def _uses(texts: DataFrame, tokenizer, names: list[str]) -> DataFrame:
+    """(names, id, n): how often each entry is used in a batch's texts, so that no token leaves its task."""
+    ship(texts.sparkSession)
+    state = texts.sparkSession.sparkContext.broadcast(tokenizer.to_str())
+    size = tokenizer.get_vocab_size()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = _tokenizer(state.value)
+        for b in batches:
+            group = pa.Table.from_batches([b]).append_column("__row", pa.array(np.arange(b.num_rows))).group_by(names).aggregate([("__row", "list")]) if names else None
+            for k, rows in enumerate(group.column("__row_list").to_pylist() if names else [list(range(b.num_rows))]):
+                count = np.zeros(size, np.int64)
+                texts = b.column(len(names)).take(pa.array(rows, pa.int64())).to_pylist()
+                for i in range(0, len(texts), 64):
+                    for x in t.encode_batch_fast(texts[i : i + 64]):
+                        count += np.bincount(x.ids, minlength=size) if len(x.ids) > size // 8 else 0
+                        if len(x.ids) <= size // 8:
+                            np.add.at(count, x.ids, 1)
+                used = np.flatnonzero(count)
+                own = [pa.repeat(group.column(n)[k], len(used)) for n in names]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(used, pa.int32()), pa.array(count[used])], [*names, "id", "n"])
+
+    head = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in texts.schema.fields[:-1])
+    return texts.mapInArrow(run, head + "id int, n bigint")
+
+
 def compression(texts: DataFrame, tokenizer, text: str = "text", by: str | None = None, max_samples: int | None = None, order: str | None = None) -> DataFrame:
     """Bytes, characters and tokens of the non-blank texts, and how much of the vocabulary they use.
 
@@ -149,8 +217,7 @@ def compression(texts: DataFrame, tokenizer, text: str = "text", by: str | None
     size = tokenizer.get_vocab_size()
     volumes = full.groupBy(*names).agg(F.count("*").alias("samples"), F.sum(F.octet_length("__text")).alias("total_bytes"), F.sum(F.length("__text")).alias("total_chars"))
     # texts are encoded once: all token figures come from the counts by id, a row for each entry used
-    coded = encode(full, tokenizer, "__text", "__ids")
-    used = coded.select(*names, F.explode("__ids").alias("id")).groupBy(*names, "id").agg(F.count("*").alias("n"))
+    used = _uses(full.select(*names, "__text"), tokenizer, names).groupBy(*names, "id").agg(F.sum("n").alias("n"))
     used = Workspace(texts.sparkSession, "tokens").save(used, "used")
     total = used.groupBy(*names).agg(F.sum("n").alias("total_tokens"))
     top = used.withColumn("__r", F.row_number().over(W.Window.partitionBy(*names).orderBy(F.col("n").desc(), "id"))).where("__r <= 10")

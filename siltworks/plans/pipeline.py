@@ -69,9 +69,11 @@ class Pipeline:
             taken = taken | F.coalesce(when, F.lit(False))
         kernel = X.text_kernel_with_print(config["near_dedup_ngram"]) if config["near_dedup"] else X.text_kernel
         df = df.withColumn("__k", kernel(F.array(*(c for _, c in slots))))
-        df = df.select("*", F.col("__k.text").alias("text_out"), F.col("__k.text_sha256").alias("text_sha256_out"), F.col("__k.fp").alias("__fp"))
+        # of one slot the text is the part, so that a row has its record and one clean text
+        parts = F.col("__k.parts") if len(slots) > 1 else F.array(F.when(F.get(F.col("__k.parts"), F.lit(0)).isNotNull(), True))
+        df = df.select("*", F.col("__k.text").alias("text_out"), F.col("__k.text_sha256").alias("text_sha256_out"), F.col("__k.fp").alias("__fp"), parts.alias("__parts")).drop("__k")
         for k, (name, _) in enumerate(slots):
-            fields.put(name, F.get(F.col("__k.parts"), F.lit(k)))
+            fields.put(name, F.get(F.col("__parts"), F.lit(k)) if len(slots) > 1 else F.when(F.get(F.col("__parts"), F.lit(0)), F.col("text_out")))
         row.text = F.col("text_out")
         if config["sensitive_terms"] or self.category == "agentic":
             df = df.withColumn("__folded", X.casefold(F.col("text_out")))
@@ -86,22 +88,26 @@ class Pipeline:
         return self._finish(df, row, config, names, keep_dropped, fields)
 
     def _duplicates(self, df: DataFrame, row: S.Row, config: dict) -> DataFrame:
-        def cut(df: DataFrame, hit: Column, reason: str) -> DataFrame:
-            mark = F.array(F.struct(F.lit(row.effects.at).alias("step"), F.lit(V.DROP).alias("sev"), F.lit(reason).alias("reason")))
-            hit = F.coalesce(hit, F.lit(False)) & F.col("stop_step").isNull()
-            return df.withColumns({"marks": F.when(hit, F.concat("marks", mark)).otherwise(F.col("marks")), "stop_step": F.when(hit, F.lit(row.effects.at)).otherwise(F.col("stop_step"))})
-
+        """Marks of duplicates, from a list of (seq, step): texts stay out of the exchanges that make it."""
         row.effects.step(S.SUFFIX[1])
-        alive = F.col("stop_step").isNull()
-        df = df.withColumn("__alive_key", F.when(alive, F.col("text_sha256_out")))
-        df = dedup.exact_duplicates(df, "__alive_key", out="__exact")
-        df = cut(df, F.col("__exact"), "exact_duplicate")
+        exact = row.effects.at
+        alive = df.where("stop_step IS NULL").select("seq", F.col("text_sha256_out").alias("text_sha256"), F.col("__fp").alias("fp"))
+        judged = dedup.exact_duplicates(alive, out="again")
+        ws = Workspace(df.sparkSession, "duplicates") if config["materialize"] else None
+        if ws and config["near_dedup"]:
+            judged = ws.save(judged, "exact")
+        found = judged.where("again").select("seq", F.lit(exact).alias("at"))
         row.effects.step(S.SUFFIX[2])
         if config["near_dedup"]:
-            prints = df.where("stop_step IS NULL").select("seq", F.col("__fp").alias("fp"))
-            near = dedup.near_duplicates(prints, config["near_dedup_threshold"], config["near_dedup_bands"], match=config["near_dedup_match"]).select(F.col("seq").alias("__near"))
-            df = cut(df.join(near, F.col("seq") == F.col("__near"), "left"), F.col("__near").isNotNull(), "near_duplicate")
-        return df
+            near = dedup.near_duplicates(judged.where("NOT again"), config["near_dedup_threshold"], config["near_dedup_bands"], match=config["near_dedup_match"])
+            found = found.unionByName(near.select("seq", F.lit(row.effects.at).alias("at")))
+        # written, its size is known: a small list goes to the rows, a large one meets them by seq
+        found = ws.save(found, "found") if ws else found
+        reason = F.when(F.col("__at") == exact, "exact_duplicate").otherwise("near_duplicate")
+        mark = F.array(F.struct(F.col("__at").alias("step"), F.lit(V.DROP).alias("sev"), reason.alias("reason")))
+        df = df.join(found.select(F.col("seq").alias("__of"), F.col("at").alias("__at")), F.col("seq") == F.col("__of"), "left")
+        hit = F.col("__at").isNotNull()
+        return df.withColumns({"marks": F.when(hit, F.concat("marks", mark)).otherwise(F.col("marks")), "stop_step": F.when(hit, F.col("__at")).otherwise(F.col("stop_step"))})
 
     def _finish(self, df: DataFrame, row: S.Row, config: dict, names: list[str], keep_dropped: bool, fields) -> DataFrame:
         e = row.effects

@@ -49,9 +49,12 @@ def session(name: str = "siltworks", **conf: str) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder of spark.checkpoint.dir; a temporary one where that is unset and one machine does all work."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="siltworks-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -92,7 +95,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """df over all cores where it comes from fewer files than there are cores.
 
     A file of one row group is one task whatever its size; rows are dealt by
-    hash of the keys.  Tables of many files are left as they are.
+    hash of the keys.  Tables of many files are left as they are; either way
+    the rows are the same.  Files are counted in the scan's own index, and
+    their names are not brought here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *keys) if len(df._jdf.inputFiles()) < cores else df

@@ -25,7 +25,7 @@ def write_json(report: dict, path: str) -> None:
     """A small report as pretty JSON on the driver's file system."""
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:
-        f.write(json.dumps(report, indent=2, ensure_ascii=False) + "\n")
+        f.write(json.dumps(report, indent=2, ensure_ascii=False, sort_keys=True) + "\n")
 
 
 def manifest_report(manifest: DataFrame, stage: str, output: str) -> dict:
@@ -34,9 +34,9 @@ def manifest_report(manifest: DataFrame, stage: str, output: str) -> dict:
     return {"stage": stage, "output": output, "records": sum(counts.values()), "decisions": counts}
 
 
-def run_summary(counters: DataFrame, steps: list[str], stage: str, category: str, dataset: str, written: int) -> dict:
-    """The summary of a run from its (counter, n) table, which has a few rows a step."""
-    return {"stage": stage, "category": category, "dataset": dataset, "written": written, "pipeline": steps, "counters": {r.counter: r.n for r in counters.orderBy("counter").collect()}}
+def run_summary(counters: DataFrame, steps: list[str], stage: str, category: str, dataset: str, written: int, manifest: str | None = None) -> dict:
+    """The summary of a run from its (counter, n) table, which has a few rows a step, and the manifest's path."""
+    return {"stage": stage, "category": category, "dataset": dataset, "written": written, "pipeline": steps, "counters": {r.counter: r.n for r in counters.orderBy("counter").collect()}, "manifest": manifest}
 
 
 def status_report(results: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def clean_jsonl(spark: SparkSession, source: str, output: str, *, category: str,
     rows = cleaned if keep_dropped else cleaned.where("decision <> 'drop'")
     released = P.release(rows)
     written = write_jsonl(released, output)
-    write_summary(run_summary(P.counters(cleaned), p.steps, stage, category, dataset, written), output, summary_path)
+    write_summary(run_summary(P.counters(cleaned), p.steps, stage, category, dataset, written, manifest_path), output, summary_path)
     if manifest_path:
         write_json(manifest_report(P.manifest(spark.read.json(output) if written else released), stage, output), manifest_path)
     cleaned.unpersist()

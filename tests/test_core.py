@@ -413,3 +413,66 @@ def test_tokenizer_trains_on_all_texts(spark):
     rows = spark.range(0, n + 100, 1, 1)
     t = tokens.train(rows.selectExpr(f"if(id < {n}, 'a', 'qqqq') AS text"), vocab_size=400)
     assert t.token_to_id("qqqq") is not None
+
+
+def test_input_order_of_several_files(spark, tmp_path):
+    """Of copies in two files the one that stands first in path order stays, whatever the files' sizes."""
+    same = "the same text stands in both of the files here"
+    (tmp_path / "a.jsonl").write_text(json.dumps({"text": same, "source": "a"}) + "\n\n" + json.dumps({"text": "another text of the first file, long enough", "source": "a"}) + "\n")
+    (tmp_path / "b.jsonl").write_text("".join(json.dumps({"text": f"row {k} of the second file " + "x" * 400, "source": "b"}) + "\n" for k in range(3000)) + json.dumps({"text": same, "source": "b"}) + "\n")
+    rows = P.build_pipeline("general_text").run(readers.read_jsonl(spark, str(tmp_path)), "d", keep_dropped=True)
+    got = {r.seq: r for r in rows.select("seq", "source_id", "decision", "clean_text").collect()}
+    assert sorted(got) == list(range(3003)) and got[0].clean_text == same and got[0].decision == "keep" and got[0].source_id == "d:0"
+    assert [k for k, r in got.items() if r.decision == "drop"] == [3002] and got[7].clean_text.startswith("row 5 ")
+
+
+def test_numbers_within_files(spark, tmp_path):
+    spark.range(100).selectExpr("id AS text").repartition(3).write.parquet(str(tmp_path / "p"))
+    rows = readers.numbered(spark.read.parquet(str(tmp_path / "p")).selectExpr("text", "_metadata.file_path AS f"), "n", each_file=True)
+    for _, own in rows.toPandas().groupby("f"):
+        assert sorted(own.n) == list(range(len(own)))
+    assert sorted(r.seq for r in readers.numbered(spark.read.parquet(str(tmp_path / "p"))).collect()) == list(range(100))
+
+
+def test_duplicate_joins_move_no_texts(spark, tmp_path):
+    """Rows meet the written list of duplicates by broadcast: no exchange of the plan holds a text."""
+    spark.createDataFrame([(k, f"a text of some length {k % 7}") for k in range(50)], "id bigint, text string").write.parquet(str(tmp_path / "t"))
+    rows = P.build_pipeline("general_text", {"near_dedup": True}).run(spark.read.parquet(str(tmp_path / "t")), "d", seq="id", keep_dropped=True)
+    assert rows.where("decision = 'drop'").count() == 43
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_tokenize_command_over_folders(spark, tmp_path):
+    from siltworks.operators import tokens
+
+    folder = tmp_path / "in"
+    spark.createDataFrame([(f"word {k} of parquet", "p" if k % 2 else None) for k in range(6)], "text string, source string").coalesce(1).write.parquet(str(folder / "c"))
+    (folder / "a.jsonl").write_text("".join(json.dumps({"text": f"line {k}", "id": k}) + "\n" for k in range(3)) + "no json\n")
+    (folder / "b.json").write_text(json.dumps({"content": "other field"}) + "\n")
+    (folder / "notes.txt").write_text("not read in a folder\n")
+    t = tokens.train(spark.createDataFrame([("line word of parquet other field 0123456789",)], "text string"), vocab_size=300)
+    rows = tokens.tokenize_files(spark, t, [str(folder)])
+    got = {r.source_id: r for r in rows.collect()}
+    assert len(got) == 10 and got["a:0"].source == "a" and got["1"].tokens == t.encode("line 1").ids and got["b:0"].source == "b"  # an id of 0 is none
+    assert {r.source for r in got.values()} > {"a", "b", "p"}
+    assert {r.source for r in tokens.tokenize_files(spark, t, [str(folder)], max_files=2).collect()} == {"a", "b"}
+    assert {r.source for r in tokens.tokenize_files(spark, t, [str(folder)], max_tokens=1).collect()} == {"a"}
+    assert tokens.tokenize_files(spark, t, [str(folder / "notes.txt")]).count() == 1
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        tokens.tokenize_files(spark, t, [str(tmp_path / "empty")])
+
+
+def test_shared_folder_is_asked_for_on_clusters(spark):
+    from siltworks.session import shared_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        shared_root(Session())
