@@ -1,30 +1,34 @@
-"""Exact removal of repeated substrings by distributed suffix buckets.
+"""Exact removal of repeated substrings by difference-cover suffix buckets.
 
 A string of ``LENGTH`` bytes that also starts in a document with a smaller key
-is removed.  A suffix array of the corpus would put equal strings side by
-side; here it is built blockwise, one bucket of suffixes at a time, and never
-held as a whole:
-
-* Cover sample.  Of the ``LENGTH``-byte prefix of a suffix, the ``GRAM`` bytes
-  with the least hash are its sample position.  Like a difference cover, equal
-  prefixes have a sample at the same distance, but it is found from content, so
-  suffixes of different documents meet by an equi-join instead of by pairwise
-  comparison of residues, and about one position in 16 is a sample.
-* Suffixes in a row with one sample make a run.  Runs with the same bytes in a
-  document with a smaller key are gone at once; this settles copies and the
-  inside of long passages at one record a run.
-* A bucket holds the suffixes with one sample string.  Only buckets of several
-  different runs in different documents are sorted: their samples are ranked
-  once by the bytes to the right and once by the bytes to the left, and two
-  suffixes at distance d before their samples are equal if their samples agree
-  in d bytes to the left and LENGTH - d to the right.  Long ties never are
-  compared again: they are read off those ranks.
-* Buckets with more than ``HOT`` different runs are split: their suffixes are
-  sent one by one under the hash of their whole prefix.
-
-Texts are packed into blocks of about ``BLOCK`` bytes once; blocks and parts of
-the hash space bound the memory of every task.  Inside a block, equal runs send
-one record, so a passage in a third of all documents costs a record a block.
+is removed.  A suffix array of the corpus, sorted as deep as ``LENGTH``, would
+put equal strings side by side; here it is built blockwise, one bucket of
+suffixes at a time, and never held as a whole:
+
+* Cover samples.  Places of a document whose number modulo ``PERIOD`` is in the
+  difference cover ``COVER`` are samples.  Any two suffixes have a distance
+  below ``PERIOD``, which only their places decide, at which both have a
+  sample; so equal suffixes have samples that agree in ``GRAM`` bytes.
+* Buckets of samples.  A sample whose ``GRAM`` bytes stand once in the corpus
+  settles that the suffixes before it are unique there; most of the text ends
+  here, at two bytes a sample.
+* Samples that share their bytes are compared with all they can tell: the
+  bytes within reach on both sides (80 at most).  Of samples that agree in all
+  of them, those of larger documents are gone with all their suffixes; this
+  settles copies and the inside of passages by a hash of 96 bits.
+* Ranks.  What is left of a bucket is one sample for each surrounding.  They are
+  sorted once by the bytes to the right and once by the bytes to the left;
+  these ranks of cover samples then decide every tie between suffixes: at
+  distance d before their samples two are equal if the samples agree in d
+  bytes to the left and LENGTH - d to the right, whatever the bytes were.
+* A bucket with more than ``HOT`` surroundings is split: its suffixes go one by
+  one, each under the hash of its own bytes.
+
+Texts are packed into blocks of about ``BLOCK`` bytes and written once, bucketed
+by block, so later steps bring replies to the texts and not texts to replies.
+Blocks and parts of the hash space bound the memory of every task.  In a block
+equal records are one, so a passage in a third of all documents costs a record
+a block.
 """
 
 from __future__ import annotations
@@ -41,13 +45,20 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .workspace import documents, Workspace
 
-LENGTH, GRAM = 50, 20
+LENGTH = 50
+#: A difference cover: each number modulo PERIOD is the difference of two of its members.
+PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
+BACK = PERIOD - 1
+GRAM = LENGTH - BACK
 BLOCK = 2 << 20
 #: Bytes of text whose samples one part of the hash space gets.
 PART_BYTES = 16 << 20
 HOT = 50_000
 U = np.uint64
-_LOW = U((1 << 24) - 1)
+_LOW = U((1 << 32) - 1)
+_IN_COVER = np.isin(np.arange(PERIOD), COVER)
+#: A second hash of bytes, for what surrounds a sample.
+_OTHER = K.mix(K.BYTE ^ U(0x5851F42D4C957F2D))
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -72,71 +83,99 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-def _narrow(x: np.ndarray, width: int) -> np.ndarray:
-    """The low bytes of 64-bit values, as rows of bytes."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width]).view(f"V{width}").reshape(-1)
-
-
-def _slice_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple:
-    n = len(data)
-    if n < length:
-        return tuple(np.zeros(0, k) for k in (U, U, np.int64, np.int64, np.int64))
-    prefix = K.prefix_hash(K.BYTE[data])
-    at = np.arange(n - gram + 1)
-    g = K.span_hash(prefix, at, at + gram)
-    low = (g & ~_LOW) | at.astype(U)
-    have, reach = 1, length - gram + 1
-    while have * 2 <= reach:
-        low = np.minimum(low[:-have], low[have:])
-        have *= 2
-    if have < reach:
-        low = np.minimum(low[: have - reach], low[reach - have :])
-    sample = (low & _LOW).astype(np.int64)
-    # windows that would leave their document are none
-    crossing = np.zeros(n + 1, np.int32)
-    np.add.at(crossing, np.maximum(offsets[1:] - length + 1, 0), 1)
-    np.add.at(crossing, offsets[1:], -1)
-    inside = np.cumsum(crossing)[: n - length + 1] <= 0
-    change = np.ones(len(inside) + 1, bool)
-    change[1:-1] = (sample[1:] != sample[:-1]) | ~inside[:-1] | ~inside[1:]
-    first = np.flatnonzero(change[:-1] & inside)
-    last = np.flatnonzero(change[1:] & inside)
-    return g[sample[first]], K.span_hash(prefix, first, last + length), first, last, sample[first]
-
-
-def block_runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple:
-    """Runs of a block: sample hash, run hash, first and last window, sample position, document."""
-    found = []
-    for i, j in K.slices(offsets):
-        a, b = int(offsets[i]), int(offsets[j])
-        for s in range(a, max(b, a + 1), K.SLICE) if b - a > K.SLICE else (a,):
-            e = min(b, s + K.SLICE + length - 1) if b - a > K.SLICE else b
-            own = offsets[i : j + 1] - a if b - a <= K.SLICE else np.array([0, e - s])
-            h, r, first, last, sample = _slice_runs(data[s:e], own, length, gram)
-            found.append((h, r, first + s, last + s, sample + s))
-    h, r, first, last, sample = (np.concatenate(x) for x in zip(*found)) if found else _slice_runs(data[:0], offsets, length, gram)
-    return h, r, first, last, sample, np.searchsorted(offsets, first, "right") - 1
-
-
-def _grouped(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, known: np.ndarray, parts: int) -> dict:
-    """Runs in the order of part, sample, run, key; leaders are the first of each group of equal runs."""
-    h, r, first, last, sample, doc = block_runs(data, offsets)
-    if not known.all():
-        k = known[doc]
-        h, r, first, last, sample, doc = (x[k] for x in (h, r, first, last, sample, doc))
-    part = ((h >> U(40)) % U(parts)).astype(np.int64)
-    h, r = h & U((1 << 40) - 1), r & U((1 << 48) - 1)
-    order = np.lexsort((ids[doc], r, h, part))
-    h, r, first, last, sample, doc, part = (x[order] for x in (h, r, first, last, sample, doc, part))
+def _rising(x: np.ndarray) -> np.ndarray:
+    """Rising 32-bit values as differences, in as few bytes as the largest needs."""
+    gap = np.diff(x, prepend=U(0))
+    width = max(1, (int(gap.max()).bit_length() + 7) // 8) if len(gap) else 1
+    return np.ascontiguousarray(gap.view(np.uint8).reshape(-1, 8)[:, :width]).view(f"V{width}").reshape(-1)
+
+
+def cover_samples(data: np.ndarray, offsets: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash of its GRAM bytes, hash of its surroundings, place and document of each sample of documents with a key."""
+    found = [(np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for a in range(0, len(data), K.SLICE):
+        e = min(len(data), a + K.SLICE)
+        i, j = int(np.searchsorted(offsets, a, "right")) - 1, int(np.searchsorted(offsets, e, "left"))
+        doc = np.repeat(np.arange(i, j), np.minimum(offsets[i + 1 : j + 1], e) - np.maximum(offsets[i:j], a))
+        s = np.arange(a, e)
+        start, end = offsets[doc], offsets[doc + 1]
+        k = np.flatnonzero(_IN_COVER[(s - start) % PERIOD] & (s + GRAM <= end) & (end - start >= LENGTH) & known[doc])
+        if len(k):
+            s, doc = s[k], doc[k]
+            low, high = max(0, a - BACK), min(len(data), e + LENGTH)
+            piece = data[low:high]
+            gram = K.span_hash(K.prefix_hash(K.BYTE[piece]), s - low, s + GRAM - low)
+            left, right = np.maximum(s - BACK, start[k]), np.minimum(s + LENGTH, end[k])
+            found.append((gram, _around(piece, s - low, left - low, right - low), s, doc))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _around(data: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return K.mix(K.span_hash(K.prefix_hash(_OTHER[data]), left, right) + (place - left).astype(U))
+
+
+def _keyed(gram: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the hash space and 32 bits in it, in one number."""
+    return (((gram >> U(32)) % U(parts)) << U(32)) | (gram & _LOW)
+
+
+def _edges(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part begins among rising keys, and their number."""
+    return np.searchsorted(keys >> U(32), np.arange(parts + 1).astype(U))
+
+
+def _records(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, known: np.ndarray, parts: int, replies: list | None) -> dict:
+    """Shared samples of a block, by bucket and surroundings; leaders are the first of equal ones, with the least key.
+
+    first and last tell the suffixes that a record decides.
+    """
+    gram, around, place, doc = cover_samples(data, offsets, known)
+    key = _keyed(gram, parts)
+    different, which = np.unique(key, return_inverse=True)
+    code = _replies(replies, _edges(different, parts))[which]
+    hot, k = np.flatnonzero(code == 2), np.flatnonzero(code == 1)
+    first, last = np.maximum(place - BACK, offsets[doc]), np.minimum(place, offsets[doc + 1] - LENGTH)
+    h, c, p, d, i, j = key[k], around[k], place[k], doc[k], first[k], last[k]
+    if len(hot):  # each suffix of its own
+        n = last[hot] - first[hot] + 1
+        w = np.repeat(first[hot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        w, at = np.unique(w, return_index=True)
+        own = np.repeat(doc[hot], n)[at]
+        whole = K.span_hash(K.prefix_hash(K.BYTE[data]), w, w + LENGTH)
+        more = _keyed(whole, parts), _around(data, w, w, w + LENGTH), w, own, w, w
+        h, c, p, d, i, j = (np.concatenate(x) for x in zip((h, c, p, d, i, j), more))
+    order = np.lexsort((ids[d], c, h))
+    h, c, p, d, i, j = (x[order] for x in (h, c, p, d, i, j))
     lead = np.ones(len(h), bool)
-    lead[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1]) | (part[1:] != part[:-1])
-    group = np.cumsum(lead) - 1
-    top = np.flatnonzero(lead)
-    return {"h": h, "r": r, "first": first, "last": last, "sample": sample, "doc": doc, "part": part, "top": top, "group": group, "later": ids[doc] > ids[doc[top]][group] if len(top) else np.zeros(0, bool)}
+    lead[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+    top, group = np.flatnonzero(lead), np.cumsum(lead) - 1
+    later = ids[d] > ids[d[top]][group] if len(top) else np.zeros(0, bool)
+    return {"h": h, "around": c, "place": p, "doc": d, "first": i, "last": j, "top": top, "group": group, "later": later, "edge": _edges(h[top], parts)}
 
 
-def blocks(ws: Workspace, docs: DataFrame, key: str, text: str, size: int = BLOCK) -> DataFrame:
-    """(block, bytes, ids, texts): whole documents packed into blocks, written once."""
+def _decided(data: np.ndarray, g: dict, code: np.ndarray, parts: int) -> tuple:
+    """From the verdicts on leaders: starts of strings to remove, and which surroundings go to which part for sorting.
+
+    Returned are the mask, the leaders to send in the order of parts, where
+    parts begin, and the places whose suffixes hang on the answer of a rank.
+    """
+    fate = np.where(g["later"], 1, code[g["group"]] if len(code) else 0)
+    gone = np.zeros(len(data) + 1, np.int32)
+    k = np.flatnonzero(fate == 1)
+    np.add.at(gone, g["first"][k], 1)
+    np.add.at(gone, g["last"][k] + 1, -1)
+    lead = np.flatnonzero(code == 2)
+    t = g["top"][lead]
+    part = (K.mix(g["h"][t].copy()) % U(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    alias = np.flatnonzero((fate == 2) & ~g["later"])
+    return np.cumsum(gone)[:-1] > 0, t[order], np.searchsorted(part[order], np.arange(parts + 1)), g["place"][alias], rank[np.searchsorted(lead, g["group"][alias])]
+
+
+def blocks(docs: DataFrame, key: str, text: str, size: int = BLOCK) -> DataFrame:
+    """(block, bytes, ids, texts): whole documents packed into blocks."""
     picked = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +190,7 @@ def blocks(ws: Workspace, docs: DataFrame, key: str, text: str, size: int = BLOC
                 yield pa.RecordBatch.from_arrays([pa.array([e - a]), pa.array([meta], pa.binary()), pa.array([pack.compress(data[a:e].tobytes())], pa.binary())], ["bytes", "ids", "texts"])
 
     packed = picked.mapInArrow(run, "bytes bigint, ids binary, texts binary")
-    return ws.save(packed.select(F.monotonically_increasing_id().alias("block"), "*"), "blocks", "none")
+    return packed.select(F.monotonically_increasing_id().alias("block"), "*")
 
 
 def _open(ids: bytes, texts: bytes) -> tuple:
@@ -167,102 +206,129 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(block, pa.int64()), pa.array(payload, pa.binary())], ["part", "block", "payload"])
 
 
-def _send_runs(parts: int):
+def _replies(rows: list | None, edge: np.ndarray) -> np.ndarray:
+    """One code for each record that was sent, from the parts' replies."""
+    out = np.zeros(int(edge[-1]), np.uint8)
+    for x in rows or []:
+        out[edge[x["part"]] : edge[x["part"] + 1]] = _unpack(x["payload"], np.uint8)[0]
+    return out
+
+
+def _send_grams(parts: int):
+    """The different samples of a block, and of those that occur again there how many surroundings and documents have them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, ids, texts in zip(*(c.to_pylist() for c in b.columns)):
                 data, offsets, key, known = _open(ids, texts)
-                g = _grouped(data, offsets, key, known, parts)
-                top = g["top"]
-                edge = np.searchsorted(g["part"][top], np.arange(parts + 1))
+                gram, around, _, doc = cover_samples(data, offsets, known)
+                h = _keyed(gram, parts)
+                order = np.lexsort((around, h))
+                h, around, own = h[order], around[order], key[doc[order]]
+                new = np.ones(len(h), bool)
+                new[1:] = h[1:] != h[:-1]
+                other = new.copy()
+                other[1:] |= around[1:] != around[:-1]
+                top = np.flatnonzero(new)
+                rows = []
+                if len(top):
+                    count = np.add.reduceat(other.astype(np.int64), top)
+                    several = np.minimum.reduceat(own, top) != np.maximum.reduceat(own, top)
+                    h, again = h[top], np.flatnonzero((count > 1) | several)
+                    edge = _edges(h, parts)
+                    at = np.searchsorted(again, edge)
+                    for p in np.flatnonzero(np.diff(edge)).tolist():
+                        k = again[at[p] : at[p + 1]]
+                        rows.append((p, block, _pack(_rising(h[edge[p] : edge[p + 1]] & _LOW), _rising((k - edge[p]).astype(U)), count[k].astype(np.uint32), several[k].astype(np.uint8))))
+                yield _rows(rows)
+
+    return run
+
+
+def _judge_grams(table: pa.Table) -> pa.Table:
+    """For each sample sent: 0 stands in one document, 1 in several, 2 in too many surroundings."""
+    h, count, several, sizes = [], [], [], []
+    for x in table.column("payload").to_pylist():
+        gap, at, n, s = _unpack(x, U, U, np.uint32, np.uint8)
+        h.append(np.cumsum(gap).astype(np.uint32))
+        sizes.append(len(gap))
+        at = np.cumsum(at).astype(np.int64)
+        count.append(np.ones(len(gap), np.uint32)), several.append(np.zeros(len(gap), bool))
+        count[-1][at], several[-1][at] = n, s
+    h, count, several = map(np.concatenate, (h, count, several))
+    order = np.argsort(h, kind="stable")
+    s = h[order]
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    top = np.flatnonzero(new)
+    many = (np.diff(np.append(top, len(s))) > 1) | np.logical_or.reduceat(several[order], top)
+    code = np.where(many, np.where(np.add.reduceat(count[order].astype(np.int64), top) > HOT, 2, 1), 0).astype(np.uint8)
+    out = np.empty(len(h), np.uint8)
+    out[order] = code[np.cumsum(new) - 1]
+    return _answer(table, np.split(out, np.cumsum(sizes)[:-1]))
+
+
+def _answer(table: pa.Table, codes: list[np.ndarray]) -> pa.Table:
+    return pa.table([table.column("part"), table.column("block"), pa.array([_pack(c) for c in codes], pa.binary())], ["part", "block", "payload"])
+
+
+def _send_records(parts: int):
+    """The leaders of a block's shared samples: bucket, hash of the surroundings, document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, ids, texts, grams in zip(*(c.to_pylist() for c in b.columns)):
+                data, offsets, key, known = _open(ids, texts)
+                g = _records(data, offsets, key, known, parts, grams)
                 rows = []
-                for p in range(parts):
-                    t = top[edge[p] : edge[p + 1]]
-                    if len(t):
-                        own, local = np.unique(g["doc"][t], return_inverse=True)
-                        rows.append((p, block, _pack(_narrow(g["h"][t], 5), _narrow(g["r"][t], 6), local.astype(np.uint32), key[own])))
+                for p in np.flatnonzero(np.diff(g["edge"])).tolist():
+                    t = g["top"][g["edge"][p] : g["edge"][p + 1]]
+                    own, local = np.unique(g["doc"][t], return_inverse=True)
+                    rows.append((p, block, _pack(_rising(g["h"][t] & _LOW), g["around"][t], local.astype(np.uint32), key[own])))
                 yield _rows(rows)
 
     return run
 
 
-def _judge_runs(table: pa.Table) -> pa.Table:
-    """For each run sent: 0 stays, 1 is in a smaller document, 2 needs its bucket sorted, 3 goes window by window."""
+def _judge_records(table: pa.Table) -> pa.Table:
+    """For each record sent: 0 stays, 1 has its like in a smaller document, 2 needs its bucket sorted."""
     got = [_unpack(x, U, U, np.uint32, np.int64) for x in table.column("payload").to_pylist()]
     sizes = [len(x[0]) for x in got]
-    h, r = np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
+    h, c = np.concatenate([np.cumsum(x[0]).astype(np.uint32) for x in got]), np.concatenate([x[1] for x in got])
     doc = np.concatenate([x[3][x[2]] for x in got])
     got.clear()
-    order = np.lexsort((doc, r, h))
-    h, r, doc = h[order], r[order], doc[order]
+    order = np.lexsort((doc, c, h))
+    h, c, doc = h[order], c[order], doc[order]
     new_h = np.ones(len(h), bool)
     new_h[1:] = h[1:] != h[:-1]
-    new_r = new_h.copy()
-    new_r[1:] |= r[1:] != r[:-1]
-    top = np.flatnonzero(new_r)
+    new_c = new_h.copy()
+    new_c[1:] |= c[1:] != c[:-1]
+    top = np.flatnonzero(new_c)
     least = doc[top]
-    code = (doc > least[np.cumsum(new_r) - 1]).astype(np.uint8)
     start = np.flatnonzero(new_h[top])
-    low, high = np.minimum.reduceat(least, start), np.maximum.reduceat(least, start)
-    count = np.diff(np.append(start, len(top)))
-    verdict = np.where(low == high, 0, np.where(count > HOT, 3, 2)).astype(np.uint8)
-    code = np.where(code == 1, code, verdict[np.cumsum(new_h) - 1])
+    mixed = np.minimum.reduceat(least, start) != np.maximum.reduceat(least, start)
+    code = np.where(doc > least[np.cumsum(new_c) - 1], 1, 2 * mixed[np.cumsum(new_h) - 1]).astype(np.uint8)
     out = np.empty_like(code)
     out[order] = code
-    cut = np.split(out, np.cumsum(sizes)[:-1])
-    return pa.table([table.column("part"), table.column("block"), pa.array([_pack(c) for c in cut], pa.binary())], ["part", "block", "payload"])
+    return _answer(table, np.split(out, np.cumsum(sizes)[:-1]))
 
 
-def _send_contexts(parts: int, length: int):
-    """Contexts of undecided runs to the parts, and the block's own state under part -1."""
+def _send_contexts(parts: int):
+    """The bytes around the leaders whose buckets are sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for block, ids, texts, replies in zip(*(c.to_pylist() for c in b.columns)):
+            for block, ids, texts, grams, records in zip(*(c.to_pylist() for c in b.columns)):
                 data, offsets, key, known = _open(ids, texts)
-                g = _grouped(data, offsets, key, known, parts)
-                top = g["top"]
-                code = np.zeros(len(top), np.uint8)
-                edge = np.searchsorted(g["part"][top], np.arange(parts + 1))
-                for x in replies or []:
-                    code[edge[x["part"]] : edge[x["part"] + 1]] = _unpack(x["payload"], np.uint8)[0]
-                fate = np.where(g["later"], 1, code[g["group"]] if len(top) else 0)
-                gone = np.zeros(len(data) + 1, np.int32)
-                k = np.flatnonzero(fate == 1)
-                np.add.at(gone, g["first"][k], 1)
-                np.add.at(gone, g["last"][k] + 1, -1)
-                mask = np.cumsum(gone)[:-1] > 0
-                # occurrences to send: a run of each undecided group, or each of its windows
-                lead = np.flatnonzero(code == 2)
-                t = top[lead]
-                h = g["h"][t] | (g["part"][t].astype(U) << U(40))
-                first, last, sample, doc = (g[x][t] for x in ("first", "last", "sample", "doc"))
-                alias = np.flatnonzero((fate == 2) & ~g["later"])
-                where = np.searchsorted(lead, g["group"][alias])
-                place = g["sample"][alias]
-                hot = np.flatnonzero((fate == 3) & ~g["later"])
-                if len(hot):
-                    n = g["last"][hot] - g["first"][hot] + 1
-                    w = np.repeat(g["first"][hot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    prefix = K.prefix_hash(K.BYTE[data])
-                    where = np.concatenate([where, len(h) + np.arange(len(w))])
-                    place = np.concatenate([place, w])
-                    h = np.concatenate([h, K.span_hash(prefix, w, w + length) | (U(1) << U(63))])
-                    first, last, sample, doc = np.concatenate([first, w]), np.concatenate([last, w]), np.concatenate([sample, w]), np.concatenate([doc, np.repeat(g["doc"][hot], n)])
-                part = (K.mix(h) % U(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                rank = np.empty(len(order), np.int64)
-                rank[order] = np.arange(len(order))
-                edge = np.searchsorted(part[order], np.arange(parts + 1))
+                g = _records(data, offsets, key, known, parts, grams)
+                _, t, edge, _, _ = _decided(data, g, _replies(records, g["edge"]), parts)
                 rows = []
-                for p in range(parts):
-                    o = order[edge[p] : edge[p + 1]]
-                    if len(o):
-                        size = last[o] - first[o] + length
-                        ends = np.cumsum(size)
-                        at = np.repeat(first[o] - (ends - size), size) + np.arange(ends[-1])
-                        rows.append((p, block, _pack(h[o], key[doc[o]], (sample[o] - first[o]).astype(np.uint8), size.astype(np.uint16), data[at])))
-                rows.append((-1, block, _pack(np.packbits(mask), edge.astype(np.int64), rank[where].astype(np.int64), place)))
+                for p in np.flatnonzero(np.diff(edge)).tolist():
+                    o = t[edge[p] : edge[p + 1]]
+                    first, size = g["first"][o], g["last"][o] - g["first"][o] + LENGTH
+                    ends = np.cumsum(size)
+                    at = np.repeat(first - (ends - size), size) + np.arange(ends[-1])
+                    rows.append((p, block, _pack(g["h"][o], key[g["doc"][o]], (g["place"][o] - first).astype(np.uint8), size.astype(np.uint8), data[at])))
                 yield _rows(rows)
 
     return run
@@ -287,7 +353,7 @@ def _sort_buckets(length: int, gram: int):
 
     def run(table: pa.Table) -> pa.Table:
         """For each context sent, a bit for each distance whose window is also in a smaller document."""
-        got = [_unpack(x, U, np.int64, np.uint8, np.uint16, np.uint8) for x in table.column("payload").to_pylist()]
+        got = [_unpack(x, U, np.int64, np.uint8, np.uint8, np.uint8) for x in table.column("payload").to_pylist()]
         counts = [len(x[0]) for x in got]
         h, doc, ahead, size = (np.concatenate([x[k] for x in got]) for k in range(4))
         data = np.concatenate([x[4] for x in got])
@@ -334,22 +400,20 @@ def _sort_buckets(length: int, gram: int):
     return run
 
 
-def _finish(length: int, with_text: bool):
-    reach_bits = 64
-
+def _finish(length: int, parts: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for ids, texts, state, replies in zip(*(c.to_pylist() for c in b.columns)):
+            for ids, texts, grams, records, bits in zip(*(c.to_pylist() for c in b.columns)):
                 data, offsets, key, known = _open(ids, texts)
-                bits, edge, rank, place = _unpack(state, np.uint8, np.int64, np.int64, np.int64)
-                mask = np.unpackbits(bits, count=len(data)).astype(bool)
+                g = _records(data, offsets, key, known, parts, grams)
+                mask, _, edge, place, rank = _decided(data, g, _replies(records, g["edge"]), parts)
                 if len(place):
                     answer = np.zeros(int(edge[-1]), U)
-                    for x in replies or []:
+                    for x in bits or []:
                         answer[edge[x["part"]] : edge[x["part"] + 1]] = _unpack(x["payload"], U)[0]
                     own = answer[rank]
                     hit = np.flatnonzero(own)
-                    for d in range(reach_bits):
+                    for d in range(PERIOD):
                         k = hit[(own[hit] >> U(d)) & U(1) == 1]
                         mask[place[k] - d] = True
                 sums = np.cumsum(np.concatenate([[0], mask]))
@@ -374,28 +438,33 @@ def _finish(length: int, with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False, block: int = BLOCK, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row a document: key, n_bytes, n_removed, n_spans, kept_sha256, and kept_bytes if asked for.
 
     Every byte of a ``LENGTH``-byte string that also starts in a document with
-    a smaller key goes; strings are judged on the input.  Null texts are empty.
-    Documents with one key do not remove each other's strings, and a document
-    without a key neither loses bytes nor makes others lose any.
+    a smaller key goes; strings are judged on the input.  Null texts are empty,
+    texts of any length are read whole, an empty table gives no row, and other
+    columns are not read.  Documents with one key do not remove each other's
+    strings, and a document without a key neither loses bytes nor makes others
+    lose any.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "substrings")
-    table = blocks(ws, docs, key, text)
-    parts = max(1, -(-(table.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES))
-    lists = lambda df: df.groupBy("block").agg(F.collect_list(F.struct("part", "payload")).alias("replies"))
-    sent = table.select("block", "ids", "texts").mapInArrow(_send_runs(parts), _SENT)
-    codes = ws.save(sent.groupBy("part").applyInArrow(_judge_runs, _SENT), "codes", "none")
-    asked = table.join(lists(codes), "block", "left").select("block", "ids", "texts", "replies")
-    contexts = ws.save(asked.mapInArrow(_send_contexts(parts, LENGTH), _SENT), "contexts", "none")
-    bits = ws.save(contexts.where("part >= 0").groupBy("part").applyInArrow(_sort_buckets(LENGTH, GRAM), _SENT), "bits", "none")
-    state = contexts.where("part < 0").select("block", F.col("payload").alias("state"))
-    last = state.join(lists(bits), "block", "left")
-    out = table.join(last, "block").select("ids", "texts", "state", "replies")
-    return out.mapInArrow(_finish(LENGTH, with_text), "key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_bytes binary" * with_text).withColumnRenamed("key", key)
+    total = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    parts = max(1, -(-total // part_bytes))
+    n = max(spark.sparkContext.defaultParallelism, -(-total // (16 * block)))
+    table = ws.save_bucketed(blocks(docs, key, text, block), "blocks", "block", n)
+    # replies come in the partitioning of the blocks, whose texts stay where they lie
+    lists = lambda df, name: df.repartition(n, "block").groupBy("block").agg(F.collect_list(F.struct("part", "payload")).alias(name))
+    by_part = lambda df, judge: df.groupBy("part").applyInArrow(judge, _SENT)
+    sent = table.select("block", "ids", "texts").mapInArrow(_send_grams(parts), _SENT)
+    shared = ws.save(by_part(sent, _judge_grams), "shared", "none")
+    one = table.join(lists(shared, "grams"), "block", "left").select("block", "ids", "texts", "grams")
+    verdicts = ws.save(by_part(one.mapInArrow(_send_records(parts), _SENT), _judge_records), "verdicts", "none")
+    two = one.join(lists(verdicts, "records"), "block", "left").select("block", "ids", "texts", "grams", "records")
+    bits = ws.save(by_part(two.mapInArrow(_send_contexts(parts), _SENT), _sort_buckets(LENGTH, GRAM)), "bits", "none")
+    out = two.join(lists(bits, "bits"), "block", "left").select("ids", "texts", "grams", "records", "bits")
+    return out.mapInArrow(_finish(LENGTH, parts, with_text), "key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_bytes binary" * with_text).withColumnRenamed("key", key)
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -523,20 +523,27 @@ def local_repeats(rows, parts, size):
             replies[x["block"]].append({"part": x["part"], "payload": x["payload"]})
         return replies
 
-    sent = gather(substrings._send_runs(parts)(iter([batch(blocks, ["block", "ids", "texts"])])))
-    codes = by_part(sent, substrings._judge_runs)
-    asked = gather(substrings._send_contexts(parts, substrings.LENGTH)(iter([batch([(*b, codes[b[0]]) for b in blocks], ["block", "ids", "texts", "replies"])])))
-    bits = by_part(asked, substrings._sort_buckets(substrings.LENGTH, substrings.GRAM))
-    state = {x["block"]: x["payload"] for x in asked.to_pylist() if x["part"] == -1}
-    out = gather(substrings._finish(substrings.LENGTH, True)(iter([batch([(i, t, state[b], bits[b]) for b, i, t in blocks], ["ids", "texts", "state", "replies"])])))
+    ask = lambda step, *replies: gather(step(iter([batch([(*b, *(r[b[0]] for r in replies)) for b in blocks], ["block", "ids", "texts", *"xyz"[: len(replies)]])])))
+    grams = by_part(ask(substrings._send_grams(parts)), substrings._judge_grams)
+    records = by_part(ask(substrings._send_records(parts), grams), substrings._judge_records)
+    bits = by_part(ask(substrings._send_contexts(parts), grams, records), substrings._sort_buckets(substrings.LENGTH, substrings.GRAM))
+    out = gather(substrings._finish(substrings.LENGTH, parts, True)(iter([batch([(i, t, grams[b], records[b], bits[b]) for b, i, t in blocks], ["ids", "texts", "x", "y", "z"])])))
     return out.to_pylist()
 
 
+def test_difference_cover():
+    """Every distance modulo the period is one of two members, and sampled grams reach the whole string."""
+    c, v = substrings.COVER, substrings.PERIOD
+    assert {(a - b) % v for a in c for b in c} == set(range(v)) and substrings.GRAM + v - 1 == substrings.LENGTH
+    data, offsets = kernels.utf8(pa.array(["x" * 49, "", "abc" * 60, "y" * 50]))
+    _, _, place, doc = substrings.cover_samples(data, offsets, np.array([True, True, True, True]))
+    assert [(d, p - offsets[d]) for d, p in zip(doc, place)] == [(d, p) for d, n in ((2, 180), (3, 50)) for p in range(n - 19) if p % v in c]
+
+
 @pytest.mark.parametrize("hot, piece", [(0, 1 << 20), (1, 1 << 20), (10**9, 200), (0, 130)])
 def test_substrings_hot_buckets_and_pieces(monkeypatch, hot, piece):
     monkeypatch.setattr(substrings, "HOT", hot)
     monkeypatch.setattr(kernels, "SLICE", piece)
-    monkeypatch.setattr(kernels.slices, "__defaults__", (piece,))
     rows = repeated(11)
     got = local_repeats(rows, 3, 17)
     assert sorted(((x["key"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got), key=repr) == brute_substrings(rows)
