@@ -156,8 +156,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_sentences, n_unknown, sentence_ids, licenses) of documents with a licence sentence.
 
     sentence_ids and licenses are joined by semicolons and commas; licenses is
-    empty where no rule applies.  Repeated rows are each returned; null and
-    empty texts, and empty tables, give no row.
+    empty where no rule applies.  Repeated rows are each returned, also those
+    without a key; null and empty texts, and empty tables, give no row.  Texts
+    of any length are read whole, other columns are not read.
     """
     hit = docs.select(F.col(key), F.translate(F.col(text).cast("string"), _UPPER, _LOWER).alias("__text")).where(F.rlike("__text", F.lit(FILTER)))
     ids = hit.select(key, identifiers(F.col("__text")).alias("ids")).where(F.size("ids") > 0)

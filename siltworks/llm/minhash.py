@@ -29,11 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .graph import components
+from .graph import components, join_hot
 from .workspace import documents, Workspace
 
 BANDS, ROWS = 32, 5
@@ -339,19 +340,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     linked; component_id is the least key of what links reach.  Null and blank
     texts have no shingle and stand alone.  Rows with a repeated key are each
     returned; keys that are null never are a component's id unless all are.
+    Texts of any length are read whole, an empty table gives no row, and other
+    columns are not read.
     """
     ws = Workspace(docs.sparkSession, "near")
     sig = ws.save(signatures(docs, key, text, width), "signatures", "none")
     roots = _links(ws, sig, width, percent)
-    classes = sig.where("n_shingles > 0").groupBy("node").agg(F.min("key").alias("least"))
+    classes = sig.where("n_shingles > 0").groupBy("node").agg(F.min("key").alias("least"), F.count("*").alias("n"))
     if roots is not None:
-        classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        tops = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-        classes = classes.join(tops, "root").select("node", "component_id")
+        classes = ws.save(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "classes")
+        tops = classes.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("m"))
+        classes = join_hot(classes, tops, "root", "m", classes.count()).select("node", "component_id", "n")
     else:
-        classes = classes.select("node", F.col("least").alias("component_id"))
+        classes = classes.select("node", F.col("least").alias("component_id"), "n")
+    classes = ws.save(classes, "ids")
     # documents without a shingle have one digest, and would all meet in one task of the join
-    full = sig.where("n_shingles > 0").select("key", "node", "n_shingles").join(classes, "node").drop("node")
+    rows = sig.where("n_shingles > 0").select("key", "node", "n_shingles")
+    full = join_hot(rows, classes, "node", "n", sig.count()).drop("node")
     alone = sig.where("n_shingles = 0").select("key", "n_shingles", F.col("key").alias("component_id"))
     out = full.unionByName(alone)
     return out.select(F.col("key").alias(key), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -364,19 +369,25 @@ def op7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, the one with the least key, with all its columns.
 
-    Rows are told apart by their place in the scan, so repeated and null keys
-    lose no text: a null key comes after all others.  docs is a scan of files,
-    which numbers its rows alike each time.
+    Rows are told apart by their place in their file, or in a written copy of
+    docs where they come from no file, so repeated and null keys lose no text:
+    a null key comes after all others, equal keys are in the order of place.
+    Null and blank texts stay, an empty table stays empty.
     """
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("__row").alias("row"))
+    ws = Workspace(docs.sparkSession, "one")
+    try:
+        numbered = docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("__place"))
+    except AnalysisException:
+        numbered = ws.save(docs.withColumn("__place", F.monotonically_increasing_id()), "numbered")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("__place").alias("place"))
     near = near_duplicates(numbered.select(order.alias("order"), F.col(text).alias("text")), "order", "text", width, percent)
-    keep = near.where("kept").select(F.col("order.row").alias("__keep"))
-    return numbered.join(keep, F.col("__row") == F.col("__keep"), "left_semi").drop("__row")
+    # written, its size is known: a small list goes to the documents
+    gone = ws.save(near.where("NOT kept").select(F.col("order.place").alias("__gone")), "gone")
+    return numbered.join(gone, F.col("__place") == F.col("__gone"), "left_anti").drop("__place")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 0.8), the one with the least doc_id."""
+    """One document of each group of near copies (five words, 0.8), the one with the least doc_id; all columns, null and empty texts kept."""
     return keep_one(docs)
 
 

@@ -168,10 +168,13 @@ _TYPES = [pa.bool_() if x.endswith("boolean") else pa.int64() for x in SCHEMA.sp
 def assess(docs: DataFrame, crf: LineCrf, text: str = "text", keep: tuple[str, ...] = ("doc_id",), share: float = MIN_CONTENT_SHARE) -> DataFrame:
     """The columns of `keep` and SCHEMA for every document, by one pass without a shuffle.
 
-    Null or blank text has no words and fails; repeated rows are judged each;
-    ties of the decoder go to content.
+    Null or blank text has no words and fails; repeated rows are judged each,
+    texts of any length whole; an empty table gives no row; ties of the decoder
+    go to content.  Columns of `keep` named like a result are refused.
     """
     ship(docs.sparkSession)
+    if clash := {c.lower() for c in keep} & set(_NAMES):
+        raise ValueError(f"columns named like results: {sorted(clash)}")
     picked = docs.select(*(F.col(c) for c in keep), F.col(text).alias("__text"))
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
 
@@ -208,7 +211,7 @@ def keep_good(docs: DataFrame, crf: LineCrf, text: str = "text", share: float =
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and the CRF keep."""
+    """Documents that the rules and the CRF keep, with all columns; null and blank texts fail the rules."""
     return keep_good(docs, _crf(spark, sf_dir))
 
 

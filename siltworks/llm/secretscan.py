@@ -292,7 +292,10 @@ def scan(docs: DataFrame, forest: Forest | None = None, key: str = "doc_id", tex
     """A row for each candidate: key, start, end, kind, score, is_secret, sha256.
 
     Positions count code points; the string itself is not shown, only its hash.
-    Null and empty texts have no rows, repeated documents each have theirs.
+    Null and empty texts have no rows, repeated documents each have theirs, also
+    without a key; texts of any length are searched whole, an empty table gives
+    no row, and other columns are not read.  Without the path column, or where
+    it is null, the path speaks for nothing.
     """
     ship(docs.sparkSession)
     forest = forest or default_forest()
@@ -318,7 +321,11 @@ MASK = "[SECRET]"
 
 
 def redact(docs: DataFrame, forest: Forest | None = None, text: str = "text", path: str | None = "source", size: str | None = "n_chars") -> DataFrame:
-    """The documents with every secret replaced by MASK, and their size column brought up to date."""
+    """The documents with every secret replaced by MASK, and their size column brought up to date.
+
+    All columns stay, whatever their names; null and empty texts and texts
+    without a secret are as they were, and so is an empty table.
+    """
     ship(docs.sparkSession)
     forest = forest or default_forest()
     names, schema = docs.columns, docs.schema
@@ -352,7 +359,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their secrets masked."""
+    """The documents with their secrets masked: no row goes, null and empty texts stay as they are."""
     return redact(docs)
 
 

@@ -31,24 +31,27 @@ BLOCK = 256
 class Counter:
     """Counts a text's tokens: rank files by tiktoken, .json by tokenizers, .model by sentencepiece."""
 
-    def __init__(self, path: str):
-        self.path, self._count = path, None
+    def __init__(self, path: str, data: bytes | None = None):
+        self.path, self.data, self._count = path, data, None
 
     def _load(self):
+        data = self.data
+        if data is None:
+            with open(self.path, "rb") as f:
+                data = f.read()
         if self.path.endswith(".json"):
             from tokenizers import Tokenizer
 
-            t = Tokenizer.from_file(self.path)
+            t = Tokenizer.from_buffer(data)
             t.encode_special_tokens = True
             return lambda x: len(t.encode(x, add_special_tokens=False).ids)
         if self.path.endswith(".model"):
             import sentencepiece
 
-            return lambda x, p=sentencepiece.SentencePieceProcessor(model_file=self.path): len(p.encode(x, num_threads=1))
+            return lambda x, p=sentencepiece.SentencePieceProcessor(model_proto=data): len(p.encode(x, num_threads=1))
         import tiktoken
 
-        with open(self.path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
         e = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         return lambda x: len(e.encode_ordinary(x))
 
@@ -66,16 +69,23 @@ class Counter:
 _COUNTERS: dict[str, Counter] = {}
 
 
-def counter(path: str) -> Counter:
-    return _COUNTERS.setdefault(path, Counter(path))
+def counter(path: str, data: bytes | None = None) -> Counter:
+    """The counter of a vocabulary file, loaded once in each Python worker."""
+    return _COUNTERS.setdefault(path, Counter(path, data))
 
 
 def lengths(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text") -> DataFrame:
-    """(n_tokens, docs) partly summed: a row for each length and batch of rows."""
+    """(n_tokens, docs) partly summed: a row for each length and batch of rows.
+
+    The driver reads the vocabulary, a file of some MB at most whatever the
+    corpus, and sends it to the tasks, so executors need no file.
+    """
     ship(docs.sparkSession)
+    with open(vocabulary, "rb") as f:
+        held = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(vocabulary)
+        count = counter(vocabulary, held.value)
         for b in batches:
             n = pa.array([count(t) for t in b.column(0).to_pylist()], pa.int64())
             c = pc.value_counts(n)
@@ -90,8 +100,9 @@ def histogram(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text")
     n_tokens and docs; docs_at_least and tokens_at_least, of documents with so
     many tokens or more; truncated_tokens, what is left of all documents under
     a limit of n_tokens; quantile, the share of documents with at most n_tokens.
-    Null and empty texts have 0 tokens, repeated rows count each, an empty
-    table gives no rows.
+    Null and empty texts have 0 tokens, texts of any length are encoded whole,
+    repeated rows and rows without a key count each, an empty table gives no
+    rows; other columns are not read.
     """
     ws = Workspace(docs.sparkSession, "tokens")
     h = ws.save(lengths(docs, vocabulary, text).groupBy("n_tokens").agg(F.sum("docs").alias("docs")), "histogram")
