@@ -298,11 +298,10 @@ def trajectory_outcome(spark, d):
     return r.select("conv_id", F.try_element_at("buckets", F.lit("outcome")).alias("outcome"))
 
 
-@query(_CHAT + """SELECT conv_id, NOT (len(list_filter(m, lambda x: x.role = 'user')) > 0 AND len(list_filter(m, lambda x: x.role = 'assistant')) > 0) AS incomplete, CASE WHEN len(m) > 2 THEN 'multi' ELSE 'single' END AS turns FROM m
-  WHERE len(list_filter(m, lambda x: x.role = 'user')) > 0 AND len(list_filter(m, lambda x: x.role = 'assistant')) > 0""")
+@query(_CHAT + """SELECT conv_id, NOT (len(list_filter(m, lambda x: x.role = 'user')) > 0 AND len(list_filter(m, lambda x: x.role = 'assistant')) > 0) AS incomplete,
+  CASE WHEN len(list_filter(m, lambda x: x.role = 'user')) > 0 AND len(list_filter(m, lambda x: x.role = 'assistant')) > 0 THEN CASE WHEN len(m) > 2 THEN 'multi' ELSE 'single' END END AS turns FROM m""")
 def instruction_pair(spark, d):
     r = P.build_pipeline("instruction").run(_conversations(spark, d), "chats", id_field="conv_id", seq="conv_id", keep_dropped=True)
-    r = r.where(F.try_element_at("buckets", F.lit("turns")).isNotNull())
     return r.select("conv_id", F.array_contains("reasons", "incomplete_instruction_messages").alias("incomplete"), F.try_element_at("buckets", F.lit("turns")).alias("turns"))
 
 
