@@ -6,16 +6,19 @@ decoding marks it content or boilerplate, and the words of content lines as a
 share of all words decide whether the document stays.
 
 Training sees at most ``TRAIN_DOCS`` labelled documents (those of the smallest
-doc_id hashes, so the sample grows no further with the corpus) and runs on the
-driver: gradient ascent on the conditional likelihood, where every line of a
-document carries the document's label.  Everything else is one pass over the
-documents without a shuffle.
+doc_id hashes, so the sample grows no further with the corpus).  Tasks read
+their texts whole and give ``TRAIN_LINES`` lines in a row of each, from a place
+that the doc_id's hash chooses; only the lines' features reach the driver, which
+fits by gradient ascent on the conditional likelihood.  Every line of a document
+carries the document's label.  Everything else is one pass over the documents
+without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +27,15 @@ from pyspark.sql import functions as F
 
 from .workspace import documents, ship
 
-#: Labelled documents the CRF is fitted on, and lines and characters read of each.
-TRAIN_DOCS, TRAIN_LINES, TRAIN_CHARS = 1500, 40, 10_000
+#: Labelled documents the CRF is fitted on, and lines in a row of each, from anywhere in its text.
+TRAIN_DOCS, TRAIN_LINES = 1500, 40
 #: Least share of a document's words in content lines.
 MIN_CONTENT_SHARE = 0.5
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 SYMBOLS = "#*$%&|<>"
-_symbols = re.compile("[#*$%&|<>]")
-_upper = re.compile("[A-ZÀ-ÖØ-Þ]")
-_alpha = re.compile(r"[^\W\d_]")
+#: Classes of characters that the features count: letters, capitals, digits, symbols, pipes, tag marks.
+_CLASSES = tuple(map(re.compile, (r"[^\W\d_]", "[A-ZÀ-ÖØ-Þ]", r"\d", "[#*$%&|<>]", "[|]", "<", ">")))
+_PLANE = 1 << 16
 FEATURES = ("bias", "short", "long", "symbols", "pipes", "upper", "digits", "repeat", "closed", "rare_alpha", "bang", "few_distinct", "first", "markup")
 
 
@@ -40,21 +43,45 @@ def line_words(text: str) -> list[tuple[str, list[str]]]:
     return [(line, w) for line in text.split("\n") if (w := WORD.findall(line))]
 
 
+def _class_bits(chars: str) -> np.ndarray:
+    out = np.zeros(len(chars), np.uint8)
+    for k, pattern in enumerate(_CLASSES):
+        for m in pattern.finditer(chars):
+            out[m.start()] |= 1 << k
+    return out
+
+
+@lru_cache(maxsize=1)
+def _plane_bits() -> np.ndarray:
+    return _class_bits("".join(map(chr, range(_PLANE))))
+
+
+def class_counts(lines: list[str]) -> np.ndarray:
+    """How many characters of each class each line has; lines are not empty."""
+    code = np.frombuffer("\n".join(lines).encode("utf-32-le"), np.uint32)
+    bits = _plane_bits()[np.minimum(code, _PLANE - 1)]
+    if len(far := np.flatnonzero(code >= _PLANE)):
+        bits[far] = _class_bits("".join(map(chr, code[far].tolist())))
+    starts = np.cumsum([0, *(len(line) + 1 for line in lines[:-1])])
+    return np.stack([np.add.reduceat(bits >> k & 1, starts, dtype=np.int64) for k in range(len(_CLASSES))])
+
+
 def features(lines: list[tuple[str, list[str]]]) -> np.ndarray:
     """One row of FEATURES for each line; all within 0 and 1."""
-    out = np.zeros((len(lines), len(FEATURES)))
-    seen: set[str] = set()
-    for k, (line, words) in enumerate(lines):
-        chars, n = len(line), len(words)
-        sym, alpha = len(_symbols.findall(line)), len(_alpha.findall(line))
-        last = words[-1][-1]
-        out[k] = (
-            1, n < 4, n > 12, min(1, 4 * sym / n), min(1, 4 * line.count("|") / n), len(_upper.findall(line)) / max(alpha, 1),
-            min(1, 4 * sum(c.isdigit() for c in line) / chars), line in seen, last in ".!?:;\"'…。！？", 1 - alpha / chars,
-            min(1, 2 * line.count("!!") / n), 1 - len(set(words)) / n, k == 0, "<" in line and ">" in line,
-        )
-        seen.add(line)
-    return out
+    if not lines:
+        return np.zeros((0, len(FEATURES)))
+    texts = [line for line, _ in lines]
+    alpha, upper, digits, symbols, pipes, left, right = class_counts(texts)
+    chars, n = np.array([len(t) for t in texts]), np.array([len(w) for _, w in lines])
+    first: dict[str, int] = {}
+    for k, t in enumerate(texts):
+        first.setdefault(t, k)
+    few = lambda x: np.minimum(1, x)
+    return np.stack([
+        np.ones(len(n)), n < 4, n > 12, few(4 * symbols / n), few(4 * pipes / n), upper / np.maximum(alpha, 1),
+        few(4 * digits / chars), [first[t] < k for k, t in enumerate(texts)], [w[-1][-1] in ".!?:;\"'…。！？" for _, w in lines], 1 - alpha / chars,
+        few(2 * np.array([t.count("!!") for t in texts]) / n), 1 - np.array([len(set(w)) for _, w in lines]) / n, np.arange(len(n)) == 0, (left > 0) & (right > 0),
+    ], 1).astype(float)
 
 
 class LineCrf:
@@ -111,20 +138,33 @@ class LineCrf:
         return out[::-1]
 
 
+def _train_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of TRAIN_LINES lines in a row of each whole text; the hash `pick` says which."""
+    for b in batches:
+        out = []
+        for key, quality, pick, text in zip(*b.columns):
+            lines = line_words(text.as_py() or "")
+            if lines:
+                at = pick.as_py() % -(-len(lines) // TRAIN_LINES) * TRAIN_LINES
+                out.append((key, quality, features(lines)[at : at + TRAIN_LINES].tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([x.as_py() for x in c], t) for c, t in zip(list(zip(*out))[:2] or [[], []], b.schema.types)] + [pa.array([x[2] for x in out], pa.binary())], ["doc_id", "quality", "x"])
+
+
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> LineCrf:
-    """Fit on at most `most` labelled documents; with no label of one kind, nothing is boilerplate."""
-    picked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
+    """Fit on at most `most` labelled documents, `TRAIN_LINES` lines of each.
+
+    With no label of one kind, nothing is boilerplate; texts that are null or
+    blank teach nothing; of repeated ids at most twice `most` rows are taken.
+    """
+    ship(docs.sparkSession)
+    picked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
-    head = F.concat_ws("\n", F.slice(F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0), 1, TRAIN_LINES))
-    rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "quality", F.substring(head, 1, TRAIN_CHARS).alias("text"))
-    rows = rows.orderBy("doc_id", "quality", "text").limit(2 * most)
-    xs, ys = [], []
-    for r in rows.select("quality", "text").collect():
-        lines = line_words(r.text or "")
-        if lines:
-            xs.append(features(lines))
-            ys.append(np.full(len(lines), r.quality))
-    if not xs or len({int(y[0]) for y in ys}) < 2:
+    rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "quality", F.xxhash64("doc_id", F.lit("lines")).alias("pick"), "text")
+    rows = rows.mapInArrow(_train_lines, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, quality int, x binary")
+    rows = rows.orderBy("doc_id", "quality", "x").limit(2 * most).select("quality", "x").collect()
+    xs = [np.frombuffer(r.x).reshape(-1, len(FEATURES)) for r in rows]
+    ys = [np.full(len(x), r.quality) for x, r in zip(xs, rows)]
+    if len({r.quality for r in rows}) < 2:
         return LineCrf(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)))
     return LineCrf().fit(xs, ys)
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -15,6 +16,8 @@ from siltworks.llm import chat, decontaminate, kernels, licenses, minhash, mixin
 from siltworks.llm.graph import components
 from siltworks.llm.workspace import Workspace
 
+from ..oracle import DATA
+
 WORD = re.compile("[^\\x20\\x09-\\x0D]+")
 VOCAB = [a + b for a in "ba de fi go hu ka lo mi nu po".split() for b in "rin sol tex vun wim zor cal dap".split()]
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -899,6 +902,63 @@ def test_quality_crf_held_out(spark):
     assert {r.doc_id for r in quality.keep_good(test, crf).collect()} == {k for k, v in got.items() if v}
 
 
+def plain_features(text):
+    """Features of a text's lines, a character at a time."""
+    rows, seen = [], set()
+    for line in (x for x in text.split("\n") if WORD.search(x)):
+        words, alpha = WORD.findall(line), sum(bool(re.match(r"[^\W\d_]", c)) for c in line)
+        share = lambda n, of: min(1, n / of)
+        rows.append([
+            1, len(words) < 4, len(words) > 12, share(4 * sum(c in "#*$%&|<>" for c in line), len(words)), share(4 * line.count("|"), len(words)), len(re.findall("[A-ZÀ-ÖØ-Þ]", line)) / max(alpha, 1),
+            share(4 * sum(c.isdecimal() for c in line), len(line)), line in seen, words[-1][-1] in ".!?:;\"'…。！？", 1 - alpha / len(line), share(2 * line.count("!!"), len(words)), 1 - len(set(words)) / len(words), not rows, "<" in line and ">" in line,
+        ])
+        seen.add(line)
+    return np.array(rows, float).reshape(-1, len(quality.FEATURES))
+
+
+def best_path(scores, transitions):
+    """Viterbi over lines by tables of whole paths' scores; of equals, content."""
+    best = [(s, [y]) for y, s in enumerate(scores[0])]
+    for row in scores[1:]:
+        best = [max(((b + transitions[z, y] + s, [*path, y]) for z, (b, path) in enumerate(best)), key=lambda x: (x[0], x[1][-2])) for y, s in enumerate(row)]
+    return max(best, key=lambda x: (x[0], x[1][-1]))[1]
+
+
+def test_quality_features_equal_plain_loops():
+    r = random.Random(8)
+    pool = "abZÀß 09²#*$|<>!.。中文\t\r_é𝔸😀١"
+    for _ in range(60):
+        text = "\n".join("".join(r.choice(pool) for _ in range(r.randint(0, 30))) for _ in range(r.randint(0, 12)))
+        assert quality.features(quality.line_words(text)) == pytest.approx(plain_features(text))
+
+
+def test_quality_training_reads_any_part():
+    text = "\n".join(f"line {k} of " + "words " * (k % 9) for k in range(100))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([1, 1, 0, 0], pa.int32()), pa.array([0, 4, -1, 9]), pa.array([text, text, text, None])], ["doc_id", "quality", "pick", "text"])
+    got = next(quality._train_lines(iter([batch]))).to_pylist()
+    whole = quality.features(quality.line_words(text))
+    assert [(x["doc_id"], x["quality"]) for x in got] == [(1, 1), (2, 1), (3, 0)]
+    for x, at in zip(got, (0, 40, 80)):
+        assert np.array_equal(np.frombuffer(x["x"]).reshape(-1, len(quality.FEATURES)), whole[at : at + quality.TRAIN_LINES])
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+def test_quality_query_equals_brute_force(spark):
+    """Every row of the query, verdicts included, from plain loops and the fitted field."""
+    crf = quality._crf(spark, DATA)
+    got = {x.doc_id: x for x in quality.op10_quality(spark, DATA).collect()}
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").collect()
+    assert len(docs) == len(got)
+    for d in docs:
+        x, n = got[d.doc_id], brute_counts(d.text)
+        lines, rows = [w for t in (d.text or "").split("\n") if (w := WORD.findall(t))], plain_features(d.text or "")
+        content = sum(len(w) for w, y in zip(lines, best_path(rows @ crf.weights, crf.transitions)) if y) if lines else 0
+        failed = n[0] < 50 or 100 * n[4] > 50 * n[0]
+        assert (x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words) == n
+        assert (x.base_failed, x.content_words, x.kept) == (failed, content, not failed and content >= quality.MIN_CONTENT_SHARE * n[0])
+    assert {x.kept for x in got.values()} == {True, False}
+
+
 def test_crf_viterbi_and_gradient():
     import itertools
 
