@@ -242,13 +242,17 @@ def clean_instruction(spark, d):
     return _row_local(spark, d, "instruction", "instruction", "output", "task")
 
 
-@query(_BASE + f"""SELECT doc_id, CASE WHEN short THEN {_reasons(("short", "too_short"))} ELSE {_reasons(("secret", "possible_secret"), ("length(a) < 4 OR b = ''", "incomplete_qa_pair"))} END AS reasons_qa FROM s
-  WHERE len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: length(trim(x)) > 0))) / greatest(1, len(list_filter(string_split(t, chr(10)), lambda x: length(trim(x)) > 0)))::DOUBLE >= 0.45
-  AND NOT regexp_matches(b, '^\\s*(?:unknown|n/?a)')""")
+_UNKNOWN = V.UNKNOWN_ANSWER.removesuffix("$").replace("'", "''") + "(?m:$)"
+
+
+@query(_BASE + f""", l AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: length(trim(x)) > 0) AS l FROM s),
+r AS (SELECT *, len(list_distinct(l)) / greatest(1, len(l))::DOUBLE < 0.45 AS rep, len(regexp_extract_all(t, '{V.BOILERPLATE}')) >= 4 AS boiler, length(a) < 4 OR b = '' AS part FROM l)
+SELECT doc_id, CASE WHEN short THEN {_reasons(("short", "too_short"))} ELSE {_reasons(("secret", "possible_secret"), ("boiler", "web_boilerplate"), ("rep", "repetitive_web_text"),
+  ("NOT rep AND part", "incomplete_qa_pair"), ("NOT rep AND NOT part AND regexp_matches(b, '" + _UNKNOWN + "')", "unknown_answer"))} END AS reasons_qa FROM r""")
 def clean_web_qa(spark, d):
     r = P.build_pipeline("web").run(_two(spark, d, "question", "answer"), "documents", id_field="doc_id", seq="doc_id", keep_dropped=True)
     own = F.filter("reasons", lambda x: x != "exact_duplicate")
-    return r.where(~F.array_contains("reasons", "repetitive_web_text") & (F.coalesce(X.distinct_line_ratio(F.col("clean_text")), F.lit(0.0)) >= 0.45)).select("doc_id", F.array_join(own, ",").alias("reasons_qa"))
+    return r.select("doc_id", F.array_join(own, ",").alias("reasons_qa"))
 
 
 @query(f"""WITH s AS (SELECT *, length(text) < 16 AS short, regexp_matches(text, '{V.SECRET.replace("'", "''")}') AS secret FROM documents)
