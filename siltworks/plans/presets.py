@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .pipeline import read_config
+
 # Hyper-parameters of the named presets.
 COLUMNS = ("name", "layers", "hidden", "inner", "heads", "kv_heads", "vocab", "max_len", "window", "attention_every", "rope_every", "rope_base", "rope_percent", "tied")
 PRESETS = (
@@ -16,18 +18,34 @@ PRESETS = (
     ("small-full-attn", 8, 512, 1024, 8, 4, 32000, 4096, 128, 1, 1, 500000.0, 0.334, True),
     ("small-all-rope", 8, 512, 1024, 8, 4, 32000, 4096, 128, 4, 1, 500000.0, 0.334, True),
 )
+# The settings of a preset file that the columns above stand for, in their order after the name, and what they are where a preset leaves them out.
+SETTINGS = ("num_layers", "hidden_size", "intermediate_size", "num_heads", "num_kv_heads", "vocab_size", "max_seq_len", "window_size", "attention_every", "rope_every", "rope_base", "rope_percent", "tie_word_embeddings")
+LEFT_OUT = (8, 512, 1024, 8, 4, 32000, 4096, 128, 4, 2, 500000.0, 0.334, True)
+# Settings of a preset that no table here uses.
+OTHER_SETTINGS = ("norm_eps", "pad_token_id", "bos_token_id", "eos_token_id", "notes")
 # End of the fixed values.
 _DDL = "name string, layers int, hidden int, inner int, heads int, kv_heads int, vocab int, max_len int, window int, attention_every int, rope_every int, rope_base double, rope_percent double, tied boolean"
 
 
-def presets(spark: SparkSession) -> DataFrame:
-    """The presets, each with a column for every invariant it must keep."""
-    df = spark.createDataFrame(list(PRESETS), _DDL)
-    return df.withColumns({"heads_divide_hidden": F.col("hidden") % F.col("heads") == 0, "kv_divides_heads": F.col("heads") % F.col("kv_heads") == 0, "steps_positive": (F.col("attention_every") > 0) & (F.col("rope_every") > 0)})
+def read_presets(path: str) -> list[tuple]:
+    """The presets of a YAML or JSON file with a mapping `presets`; unknown settings are errors."""
+    out = []
+    for name, own in (read_config(path).get("presets") or {}).items():
+        if unknown := set(own) - {*SETTINGS, *OTHER_SETTINGS}:
+            raise ValueError(f"unknown settings of preset {name!r}: {sorted(unknown)}")
+        values = [own.get(k, v) for k, v in zip(SETTINGS, LEFT_OUT)]
+        out.append((name, *(type(v)(x) for x, v in zip(values, LEFT_OUT))))
+    return out
+
+
+def presets(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """The presets, or those of a file, each with a column for every invariant it must keep."""
+    df = spark.createDataFrame(read_presets(path) if path else list(PRESETS), _DDL)
+    return df.withColumns({"rope_percent_in_range": (F.col("rope_percent") > 0) & (F.col("rope_percent") <= 1), "heads_divide_hidden": F.col("hidden") % F.col("heads") == 0, "kv_divides_heads": F.col("heads") % F.col("kv_heads") == 0, "steps_positive": (F.col("attention_every") > 0) & (F.col("rope_every") > 0)})
 
 
-def preset(spark: SparkSession, name: str) -> dict:
-    rows = presets(spark).where(F.col("name") == name).collect()
+def preset(spark: SparkSession, name: str, path: str | None = None) -> dict:
+    rows = presets(spark, path).where(F.col("name") == name).collect()
     if not rows:
         raise ValueError(f"no preset {name!r}")
     return rows[0].asDict()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,19 @@ def status_report(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count("*").alias("sources"), F.round(F.sum("size_bytes") / 1e9, 2).alias("total_gb"))
 
 
+def write_source_report(results: DataFrame, path: str, endpoint: str | None = None, at: str | None = None) -> dict:
+    """The report of a fetch, an entry a source of the catalogue in order of names, written as JSON.
+
+    results has name and any of the other columns; cumulative_gb is rounded to
+    three digits, and columns that are not there are null.
+    """
+    names = ("name", "repo_id", "domain", "status", "max_size_gb", "total_files", "data_files", "downloaded", "skipped", "failed", "cumulative_gb", "error", "notes")
+    rows = results.select(*(F.col(c) if c in results.columns else F.lit(None).alias(c) for c in names)).withColumn("cumulative_gb", F.round(F.col("cumulative_gb").cast("double"), 3))
+    report = {"generated_at": at or time.strftime("%Y-%m-%d %H:%M:%S"), "hf_endpoint": endpoint, "sources": [r.asDict() for r in rows.orderBy("name").collect()]}
+    write_json(report, path)
+    return report
+
+
 def write_summary(report: dict, output: str, path: str | None = None) -> str:
     path = path or f"{output}.summary.json"
     write_json(report, path)

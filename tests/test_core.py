@@ -337,6 +337,31 @@ def test_presets(spark):
     assert [r.layer for r in small if r.attention == "full"] == [0, 4] and [r.layer for r in small if r.rope] == [0, 2, 4, 6]
 
 
+def test_presets_of_a_file(spark, tmp_path):
+    path = tmp_path / "p.json"
+    path.write_text(json.dumps({"presets": {"odd": {"hidden_size": 100, "num_heads": 8, "rope_percent": 1.5, "notes": "n"}, "plain": {"num_layers": 2}}}))
+    got = {r.name: r for r in R.presets(spark, str(path)).collect()}
+    assert (got["odd"].heads_divide_hidden, got["odd"].rope_percent_in_range) == (False, False)
+    plain = got["plain"]
+    assert (plain.layers, plain.hidden, plain.kv_heads, plain.rope_base, plain.tied) == (2, 512, 4, 500000.0, True) and plain.rope_percent_in_range and plain.kv_divides_heads
+    assert R.preset(spark, "plain", str(path))["window"] == 128 and all(r.rope_percent_in_range for r in R.presets(spark).collect())
+    with pytest.raises(ValueError):
+        R.preset(spark, "none", str(path))
+    path.write_text(json.dumps({"presets": {"bad": {"layer": 2}}}))
+    with pytest.raises(ValueError, match="layer"):
+        R.presets(spark, str(path))
+
+
+def test_source_report(spark, tmp_path):
+    from siltworks.sources import sinks
+
+    rows = spark.createDataFrame([("b", "ok", 0.12345, 3), ("a", "failed", None, 0)], "name string, status string, cumulative_gb double, data_files int")
+    sinks.write_source_report(rows, str(tmp_path / "r.json"), at="now")
+    got = json.loads((tmp_path / "r.json").read_text())
+    assert [(x["name"], x["status"], x["cumulative_gb"], x["data_files"], x["error"]) for x in got["sources"]] == [("a", "failed", None, 0, None), ("b", "ok", 0.123, 3, None)] and got["generated_at"] == "now"
+    assert sinks.write_source_report(rows.limit(0), str(tmp_path / "e.json"))["sources"] == []
+
+
 def test_catalog(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"sources": [{"name": "a", "max_size_gb": 1, "include_patterns": ["x/*.gz"]}]}))
     assert catalog.load_catalog(spark, str(tmp_path / "c.json")).first().include_patterns == ["x/*.gz"]
