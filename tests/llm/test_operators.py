@@ -692,6 +692,18 @@ def test_secret_forest_held_out():
     assert (again.score(x) == forest.score(x)).all()
 
 
+def test_secret_forest_on_lines_written_by_hand():
+    """Lines that no rule of the training rows wrote; one checksum of a web page is known to be taken for a secret."""
+    raw = lambda n,k: base64.b64encode(hashlib.sha512(f"s{n}".encode()).digest()).decode().replace("/","x").replace("+","q")[:k]
+    hx = lambda n,k: hashlib.sha512(f"h{n}".encode()).hexdigest()[:k]
+    secrets = [f"export DB_PASSWORD={raw(1,20)}", f"curl -H 'Authorization: Bearer {raw(2,40)}' https://api.host.net/v1", f'"client_secret": "{raw(3,32)}",', f"aws_secret_access_key = {raw(4,40)}", f"api_key: {hx(5,32)}", f"mysql --password={raw(6,16)} -u root", f"slack token xoxb-{hx(7,12)}-{raw(7,24)}", f"auth_token='{raw(8,43)}'", f"GH_TOKEN=ghp_{raw(9,36)}", f"login with {raw(10,44)} as the access key", f"private_key = \"{hx(11,64)}\"", f"const apiKey = `{raw(12,39)}`;", f"smtp_pwd: {raw(13,14)}", f"the credential is {raw(14,36)}"]
+    harmless = [f"commit {hx(20,40)}", f"sha256: {hx(21,64)}  archive.tar.gz", "password = getPasswordFromPrompt(user)", "token: your_token_goes_here", f"trace id {hx(22,8)}-{hx(23,4)}-{hx(24,4)}-{hx(25,4)}-{hx(26,12)} was logged", "secret = os.environ['APP_SECRET_NAME']", "api_key: <insert your key here please>", "https://cdn.host.net/assets/images/2019/banner_header_large_1920x1080.png", 'integrity="sha384-'+raw(27,64)+'"', "the secret: listening_to_people every day", "access_key = config.accessKeyFromFile", "class AbstractTokenFilterFactoryBuilder2 extends Base1", f"build {hx(28,32)} passed the tests", "password: changeme123", f"etag \"{hx(29,32)}\""]
+    forest = secretscan.default_forest()
+    hit = lambda t: any(x[-1] for x in secretscan.judged(t, None, forest))
+    assert [t for t in secrets if not hit(t)] == []
+    assert [t for t in harmless if hit(t) and "integrity" not in t] == []
+
+
 def test_secret_scan_and_redaction(spark):
     key = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
     texts = [f'Prose é here. token = "{key}" and more', f"commit {key} fixed it", 'api_key = "YOUR_API_KEY_HERE"', None, "", f'a ghp_{"aB3" * 12} b', "password: required for all"]
