@@ -34,7 +34,7 @@ a block.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +56,8 @@ PART_BYTES = 16 << 20
 HOT = 50_000
 U = np.uint64
 _LOW = U((1 << 32) - 1)
-_IN_COVER = np.isin(np.arange(PERIOD), COVER)
+#: One of each for all small messages: making them takes longer than their work.
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 #: A second hash of bytes, for what surrounds a sample.
 _OTHER = K.mix(K.BYTE ^ U(0x5851F42D4C957F2D))
 
@@ -65,11 +66,11 @@ def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays as byte planes (so that slow bytes lie together), compressed."""
     head = np.array([len(arrays), *(x for a in arrays for x in (len(a), a.dtype.itemsize))], np.int64).tobytes()
     planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() if len(a) else b"" for a in arrays]
-    return zstandard.compress(head + b"".join(planes), 1)
+    return _ZIP.compress(head + b"".join(planes))
 
 
 def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
-    raw = zstandard.decompress(blob)
+    raw = _UNZIP.decompress(blob)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     head = np.frombuffer(raw, np.int64, 2 * n, 8)
     at, out = 8 + 16 * n, []
@@ -90,24 +91,44 @@ def _rising(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(gap.view(np.uint8).reshape(-1, 8)[:, :width]).view(f"V{width}").reshape(-1)
 
 
-def cover_samples(data: np.ndarray, offsets: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hash of its GRAM bytes, hash of its surroundings, place and document of each sample of documents with a key."""
-    found = [(np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for a in range(0, len(data), K.SLICE):
-        e = min(len(data), a + K.SLICE)
-        i, j = int(np.searchsorted(offsets, a, "right")) - 1, int(np.searchsorted(offsets, e, "left"))
-        doc = np.repeat(np.arange(i, j), np.minimum(offsets[i + 1 : j + 1], e) - np.maximum(offsets[i:j], a))
-        s = np.arange(a, e)
-        start, end = offsets[doc], offsets[doc + 1]
-        k = np.flatnonzero(_IN_COVER[(s - start) % PERIOD] & (s + GRAM <= end) & (end - start >= LENGTH) & known[doc])
-        if len(k):
-            s, doc = s[k], doc[k]
-            low, high = max(0, a - BACK), min(len(data), e + LENGTH)
-            piece = data[low:high]
-            gram = K.span_hash(K.prefix_hash(K.BYTE[piece]), s - low, s + GRAM - low)
-            left, right = np.maximum(s - BACK, start[k]), np.minimum(s + LENGTH, end[k])
-            found.append((gram, _around(piece, s - low, left - low, right - low), s, doc))
-    return tuple(np.concatenate(x) for x in zip(*found))
+def cover_samples(data: np.ndarray, offsets: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, Callable, np.ndarray, np.ndarray]:
+    """Samples of documents with a key, by rising place: hash of the GRAM bytes, how to hash the surroundings of chosen ones, place, document."""
+    size = np.diff(offsets)
+    own = np.flatnonzero(known & (size >= LENGTH))
+    turns, rest = np.divmod(size[own] - GRAM + 1, PERIOD)
+    n = len(COVER) * turns + np.searchsorted(COVER, rest)
+    cycle = (np.arange(n.max(initial=0) // len(COVER) + 1)[:, None] * PERIOD + np.array(COVER)).reshape(-1)
+    ends = np.cumsum(n)
+    place = cycle[np.arange(n.sum()) - np.repeat(ends - n, n)] + np.repeat(offsets[own], n)
+    doc = np.repeat(own, n)
+    return _gram_hash(data, place), lambda k: _surroundings(data, offsets, place[k], doc[k]), place, doc
+
+
+def _gram_hash(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Hash of the GRAM bytes at each place, read as 64-bit words, the last of which may overlap the one before."""
+    out = np.zeros(len(place), U)
+    if len(place):
+        words = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,))
+        for a in range(0, len(place), K.SLICE):
+            at, h = place[a : a + K.SLICE], out[a : a + K.SLICE]
+            for k in (*range(0, GRAM - 8, 8), GRAM - 8):
+                h ^= words[at + k]
+                h[:] = K.mix(h * U(K.BASE) + U(k + 1))
+    return out
+
+
+def _surroundings(data: np.ndarray, offsets: np.ndarray, place: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Hash of the bytes within reach on both sides of each of rising places."""
+    out = np.empty(len(place), U)
+    i = 0
+    while i < len(place):
+        j = max(i + 1, int(np.searchsorted(place, place[i] + K.SLICE)))
+        p, d = place[i:j], doc[i:j]
+        left, right = np.maximum(p - BACK, offsets[d]), np.minimum(p + LENGTH, offsets[d + 1])
+        low = int(left[0])
+        out[i:j] = _around(data[low : int(right[-1])], p - low, left - low, right - low)
+        i = j
+    return out
 
 
 def _around(data: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -124,6 +145,11 @@ def _edges(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.searchsorted(keys >> U(32), np.arange(parts + 1).astype(U))
 
 
+def _reach(offsets: np.ndarray, place: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last suffix that a sample decides."""
+    return np.maximum(place - BACK, offsets[doc]), np.minimum(place, offsets[doc + 1] - LENGTH)
+
+
 def _records(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, known: np.ndarray, parts: int, replies: list | None) -> dict:
     """Shared samples of a block, by bucket and surroundings; leaders are the first of equal ones, with the least key.
 
@@ -131,14 +157,19 @@ def _records(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, known: np.n
     """
     gram, around, place, doc = cover_samples(data, offsets, known)
     key = _keyed(gram, parts)
-    different, which = np.unique(key, return_inverse=True)
-    code = _replies(replies, _edges(different, parts))[which]
-    hot, k = np.flatnonzero(code == 2), np.flatnonzero(code == 1)
-    first, last = np.maximum(place - BACK, offsets[doc]), np.minimum(place, offsets[doc + 1] - LENGTH)
-    h, c, p, d, i, j = key[k], around[k], place[k], doc[k], first[k], last[k]
+    order = np.argsort(key)
+    s = key[order]
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    code = _replies(replies, _edges(s[new], parts))[np.cumsum(new) - 1]
+    # surroundings are only hashed of shared samples
+    hot, k = np.sort(order[code == 2]), np.sort(order[code == 1])
+    h, c, p, d = key[k], around(k), place[k], doc[k]
+    i, j = _reach(offsets, p, d)
     if len(hot):  # each suffix of its own
-        n = last[hot] - first[hot] + 1
-        w = np.repeat(first[hot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        first, last = _reach(offsets, place[hot], doc[hot])
+        n = last - first + 1
+        w = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         w, at = np.unique(w, return_index=True)
         own = np.repeat(doc[hot], n)[at]
         whole = K.span_hash(K.prefix_hash(K.BYTE[data]), w, w + LENGTH)
@@ -153,17 +184,14 @@ def _records(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, known: np.n
     return {"h": h, "around": c, "place": p, "doc": d, "first": i, "last": j, "top": top, "group": group, "later": later, "edge": _edges(h[top], parts)}
 
 
-def _decided(data: np.ndarray, g: dict, code: np.ndarray, parts: int) -> tuple:
-    """From the verdicts on leaders: starts of strings to remove, and which surroundings go to which part for sorting.
+def _decided(g: dict, code: np.ndarray, parts: int) -> tuple:
+    """From the verdicts on leaders: samples whose suffixes go, and which surroundings go to which part for sorting.
 
-    Returned are the mask, the leaders to send in the order of parts, where
+    Returned are those samples, the leaders to send in the order of parts, where
     parts begin, and the places whose suffixes hang on the answer of a rank.
     """
     fate = np.where(g["later"], 1, code[g["group"]] if len(code) else 0)
-    gone = np.zeros(len(data) + 1, np.int32)
     k = np.flatnonzero(fate == 1)
-    np.add.at(gone, g["first"][k], 1)
-    np.add.at(gone, g["last"][k] + 1, -1)
     lead = np.flatnonzero(code == 2)
     t = g["top"][lead]
     part = (K.mix(g["h"][t].copy()) % U(parts)).astype(np.int64)
@@ -171,7 +199,7 @@ def _decided(data: np.ndarray, g: dict, code: np.ndarray, parts: int) -> tuple:
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     alias = np.flatnonzero((fate == 2) & ~g["later"])
-    return np.cumsum(gone)[:-1] > 0, t[order], np.searchsorted(part[order], np.arange(parts + 1)), g["place"][alias], rank[np.searchsorted(lead, g["group"][alias])]
+    return k, t[order], np.searchsorted(part[order], np.arange(parts + 1)), g["place"][alias], rank[np.searchsorted(lead, g["group"][alias])]
 
 
 def blocks(docs: DataFrame, key: str, text: str, size: int = BLOCK) -> DataFrame:
@@ -214,6 +242,26 @@ def _replies(rows: list | None, edge: np.ndarray) -> np.ndarray:
     return out
 
 
+def _within(around: Callable, key: np.ndarray, order: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of groups of samples that `order` puts side by side: how many surroundings, and whether several keys, they have in the block."""
+    count, several = np.ones(len(size), np.int64), np.zeros(len(size), bool)
+    more = np.flatnonzero(size > 1)
+    if len(more):
+        n = size[more]
+        k = np.sort(order[np.repeat(size > 1, size)])
+        group = np.empty(len(order), np.int64)
+        group[order] = np.repeat(np.arange(len(size)), size)
+        c, g, own = around(k), group[k], key[k]
+        by = np.lexsort((c, g))
+        c, g, own = c[by], g[by], own[by]
+        other = np.ones(len(k), bool)
+        other[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+        start = np.cumsum(n) - n
+        count[more] = np.add.reduceat(other.astype(np.int64), start)
+        several[more] = np.minimum.reduceat(own, start) != np.maximum.reduceat(own, start)
+    return count, several
+
+
 def _send_grams(parts: int):
     """The different samples of a block, and of those that occur again there how many surroundings and documents have them."""
 
@@ -221,19 +269,17 @@ def _send_grams(parts: int):
         for b in batches:
             for block, ids, texts in zip(*(c.to_pylist() for c in b.columns)):
                 data, offsets, key, known = _open(ids, texts)
-                gram, around, _, doc = cover_samples(data, offsets, known)
+                gram, around, place, doc = cover_samples(data, offsets, known)
                 h = _keyed(gram, parts)
-                order = np.lexsort((around, h))
-                h, around, own = h[order], around[order], key[doc[order]]
+                order = np.argsort(h)
+                h = h[order]
                 new = np.ones(len(h), bool)
                 new[1:] = h[1:] != h[:-1]
-                other = new.copy()
-                other[1:] |= around[1:] != around[:-1]
                 top = np.flatnonzero(new)
                 rows = []
                 if len(top):
-                    count = np.add.reduceat(other.astype(np.int64), top)
-                    several = np.minimum.reduceat(own, top) != np.maximum.reduceat(own, top)
+                    size = np.diff(np.append(top, len(h)))
+                    count, several = _within(around, key[doc], order, size)
                     h, again = h[top], np.flatnonzero((count > 1) | several)
                     edge = _edges(h, parts)
                     at = np.searchsorted(again, edge)
@@ -321,7 +367,7 @@ def _send_contexts(parts: int):
             for block, ids, texts, grams, records in zip(*(c.to_pylist() for c in b.columns)):
                 data, offsets, key, known = _open(ids, texts)
                 g = _records(data, offsets, key, known, parts, grams)
-                _, t, edge, _, _ = _decided(data, g, _replies(records, g["edge"]), parts)
+                _, t, edge, _, _ = _decided(g, _replies(records, g["edge"]), parts)
                 rows = []
                 for p in np.flatnonzero(np.diff(edge)).tolist():
                     o = t[edge[p] : edge[p + 1]]
@@ -406,7 +452,11 @@ def _finish(length: int, parts: int, with_text: bool):
             for ids, texts, grams, records, bits in zip(*(c.to_pylist() for c in b.columns)):
                 data, offsets, key, known = _open(ids, texts)
                 g = _records(data, offsets, key, known, parts, grams)
-                mask, _, edge, place, rank = _decided(data, g, _replies(records, g["edge"]), parts)
+                k, _, edge, place, rank = _decided(g, _replies(records, g["edge"]), parts)
+                # bytes that a string to remove covers: those between where one begins and where one ends
+                step = np.zeros(len(data) + 1, np.int32)
+                np.add.at(step, g["first"][k], 1)
+                np.add.at(step, g["last"][k] + length, -1)
                 if len(place):
                     answer = np.zeros(int(edge[-1]), U)
                     for x in bits or []:
@@ -414,20 +464,22 @@ def _finish(length: int, parts: int, with_text: bool):
                     own = answer[rank]
                     hit = np.flatnonzero(own)
                     for d in range(PERIOD):
-                        k = hit[(own[hit] >> U(d)) & U(1) == 1]
-                        mask[place[k] - d] = True
-                sums = np.cumsum(np.concatenate([[0], mask]))
-                sums = sums[1:] - np.concatenate([np.zeros(min(length, len(data)), sums.dtype), sums[1:-length] if len(data) > length else sums[:0]])
-                gone = sums > 0
+                        at = place[hit[(own[hit] >> U(d)) & U(1) == 1]] - d
+                        np.add.at(step, at, 1)
+                        np.add.at(step, at + length, -1)
+                gone = np.cumsum(step[:-1], dtype=np.int32) > 0
                 n = len(key)
-                total = np.concatenate([[0], np.cumsum(gone)])
-                opens = gone.copy()
+                opens, shuts = gone.copy(), gone.copy()
                 opens[1:] &= ~gone[:-1]
-                border = offsets[:-1][offsets[:-1] < len(data)]
-                opens[border] = gone[border]
-                spans = np.concatenate([[0], np.cumsum(opens)])
-                keep = [data[i:j] if total[i] == total[j] else data[i:j][~gone[i:j]] for i, j in zip(offsets[:-1], offsets[1:])]
-                cols = [pa.array(key, mask=~known), pa.array(np.diff(offsets)), pa.array((total[offsets[1:]] - total[offsets[:-1]]).astype(np.int64)), pa.array((spans[offsets[1:]] - spans[offsets[:-1]]).astype(np.int64)), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in keep])]
+                shuts[:-1] &= ~gone[1:]
+                border = offsets[(offsets > 0) & (offsets < len(data))]  # no run crosses documents
+                opens[border], shuts[border - 1] = gone[border], gone[border - 1]
+                opens, shuts = np.flatnonzero(opens), np.flatnonzero(shuts) + 1
+                at = np.searchsorted(opens, offsets)
+                spans = np.diff(at)
+                total = np.concatenate([[0], np.cumsum(shuts - opens)])
+                keep = [data[i:j][~gone[i:j]] if m else data[i:j] for i, j, m in zip(offsets[:-1].tolist(), offsets[1:].tolist(), spans.tolist())]
+                cols = [pa.array(key, mask=~known), pa.array(np.diff(offsets)), pa.array(np.diff(total[at])), pa.array(spans), pa.array([hashlib.sha256(x).hexdigest() for x in keep])]
                 names = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
                 if with_text:
                     cols.append(pa.array([x.tobytes() for x in keep], pa.binary()))

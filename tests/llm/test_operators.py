@@ -553,6 +553,20 @@ def test_substrings_hot_buckets_and_pieces(monkeypatch, hot, piece):
     assert all(hashlib.sha256(x["kept_bytes"]).hexdigest() == x["kept_sha256"] for x in got)
 
 
+def test_substrings_hash_surroundings_of_shared_samples_only(monkeypatch):
+    """A corpus without repeats costs no surroundings in any pass; one with a passage costs those of the passage."""
+    seen = []
+    plain = substrings._around
+    monkeypatch.setattr(substrings, "_around", lambda data, place, *a: seen.append(len(place)) or plain(data, place, *a))
+    texts = ["".join(hashlib.sha512(f"{d} {k}".encode()).hexdigest() for k in range(20)) for d in range(20)]
+    got = local_repeats(list(enumerate(texts)), 3, 7)
+    assert sum(x["n_removed"] for x in got) == 0 and sum(seen) == 0
+    seen.clear()
+    texts[19] = texts[19][:700] + texts[0][100:300] + texts[19][700:]
+    got = local_repeats(list(enumerate(texts)), 3, 7)
+    assert [x["n_removed"] for x in sorted(got, key=lambda x: x["key"])][19] >= 200 and 0 < sum(seen) < 2 * 4 * 200
+
+
 def test_substring_edges(spark):
     df, rows = odd(spark)
     got = substrings.remove_repeats(df).collect()
