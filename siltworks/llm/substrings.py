@@ -24,7 +24,7 @@ suffixes at a time, and never held as a whole:
 * A bucket with more than ``HOT`` surroundings is split: its suffixes go one by
   one, each under the hash of its own bytes.
 
-Texts are packed into blocks of about ``BLOCK`` bytes and written once, bucketed
+Texts are packed into blocks of about ``BLOCK`` bytes, more for a large corpus, and written once, bucketed
 by block, so later steps bring replies to the texts and not texts to replies.
 Blocks and parts of the hash space bound the memory of every task.  In a block
 equal records are one, so a passage in a third of all documents costs a record
@@ -53,6 +53,8 @@ GRAM = LENGTH - BACK
 BLOCK = 2 << 20
 #: Bytes of text whose samples one part of the hash space gets.
 PART_BYTES = 16 << 20
+#: From so many bytes of text on, blocks and parts grow with the corpus, up to these times: their messages are one for each pair.
+LARGE, MOST_BLOCK, MOST_PART = 1 << 30, 4, 2
 HOT = 50_000
 U = np.uint64
 _LOW = U((1 << 32) - 1)
@@ -202,15 +204,32 @@ def _decided(g: dict, code: np.ndarray, parts: int) -> tuple:
     return k, t[order], np.searchsorted(part[order], np.arange(parts + 1)), g["place"][alias], rank[np.searchsorted(lead, g["group"][alias])]
 
 
+def _joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, pa.ChunkedArray]]:
+    """Keys and texts of batches put together to at least so many bytes, so that short texts fill a block too."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.column(1).nbytes for x in held) >= size:
+            yield pa.chunked_array([x.column(0) for x in held]).combine_chunks(), pa.chunked_array([x.column(1) for x in held])
+            held = []
+    if held:
+        yield pa.chunked_array([x.column(0) for x in held]).combine_chunks(), pa.chunked_array([x.column(1) for x in held])
+
+
+def sizes(total: int, block: int = BLOCK, part_bytes: int = PART_BYTES) -> tuple[int, int]:
+    """Bytes of a block and of a part for a corpus of so many."""
+    times = max(1.0, total / LARGE)
+    return int(block * min(times, MOST_BLOCK)), int(part_bytes * min(times, MOST_PART))
+
+
 def blocks(docs: DataFrame, key: str, text: str, size: int = BLOCK) -> DataFrame:
     """(block, bytes, ids, texts): whole documents packed into blocks."""
     picked = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for b in batches:
-            data, offsets = K.utf8(b.column(1))
-            ids = b.column(0)
+        for ids, texts in _joined(batches, size):
+            data, offsets = K.utf8(texts)
             for i, j in K.slices(offsets, size):
                 own = ids.slice(i, j - i)
                 a, e = int(offsets[i]), int(offsets[j])
@@ -308,9 +327,9 @@ def _judge_grams(table: pa.Table) -> pa.Table:
     new[1:] = s[1:] != s[:-1]
     top = np.flatnonzero(new)
     many = (np.diff(np.append(top, len(s))) > 1) | np.logical_or.reduceat(several[order], top)
-    code = np.where(many, np.where(np.add.reduceat(count[order].astype(np.int64), top) > HOT, 2, 1), 0).astype(np.uint8)
+    code = np.where(many, np.where(np.add.reduceat(count[order], top, dtype=np.int64) > HOT, 2, 1), 0).astype(np.uint8)
     out = np.empty(len(h), np.uint8)
-    out[order] = code[np.cumsum(new) - 1]
+    out[order] = np.repeat(code, np.diff(np.append(top, len(s))))
     return _answer(table, np.split(out, np.cumsum(sizes)[:-1]))
 
 
@@ -503,8 +522,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     spark = docs.sparkSession
     ws = Workspace(spark, "substrings")
     total = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
-    parts = max(1, -(-total // part_bytes))
     n = max(spark.sparkContext.defaultParallelism, -(-total // (16 * block)))
+    block, part_bytes = sizes(total, block, part_bytes)
+    parts = max(1, -(-total // part_bytes))
     table = ws.save_bucketed(blocks(docs, key, text, block), "blocks", "block", n)
     # replies come in the partitioning of the blocks, whose texts stay where they lie
     lists = lambda df, name: df.repartition(n, "block").groupBy("block").agg(F.collect_list(F.struct("part", "payload")).alias(name))

@@ -567,6 +567,15 @@ def test_substrings_hash_surroundings_of_shared_samples_only(monkeypatch):
     assert [x["n_removed"] for x in sorted(got, key=lambda x: x["key"])][19] >= 200 and 0 < sum(seen) < 2 * 4 * 200
 
 
+def test_substring_messages_grow_with_the_corpus(spark):
+    """Blocks fill up over Arrow batches, and blocks and parts grow with the corpus, so that their pairs do not grow with its square."""
+    short = spark.range(0, 3 * int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")), 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("a short text "), F.col("id")).alias("text"))
+    assert substrings.blocks(short, "doc_id", "text").count() == 1
+    pairs = lambda total: total * total / np.prod([float(x) for x in substrings.sizes(total)])
+    assert substrings.sizes(800 << 20) == (substrings.BLOCK, substrings.PART_BYTES)
+    assert pairs(10 << 30) < 20 * pairs(1 << 30)
+
+
 def test_substring_edges(spark):
     df, rows = odd(spark)
     got = substrings.remove_repeats(df).collect()
