@@ -41,6 +41,8 @@ BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
 #: Classes of a bucket that a task holds at a time, twice, and bytes of their packed texts.
 CHUNK, CHUNK_BYTES = 4096, 8 << 20
+#: Candidate pairs that a task holds before it confirms them.
+PAIRS = 1 << 18
 DIFFERENT = 57
 U = np.uint64
 _STEPS = np.arange(1 << 12, dtype=U) * U(K.BASE)
@@ -255,9 +257,46 @@ def _bucket_links(width: int, percent: int):
             return []
         band = int((keys[0] == bucket).argmax())  # the bucket's own; an earlier shared one has done the pair
         cross = t.column("i")[0].as_py() != t.column("j")[0].as_py()
-        pairs = []
+        parent = list(range(len(code)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        sets: dict[int, np.ndarray] = {}
+
+        def read(need: list[int]) -> None:
+            texts = [unpack.decompress(x) for x in t.column("body").take(pa.array(need)).to_pylist()]
+            offsets = np.zeros(len(texts) + 1, np.int64)
+            np.cumsum([len(x) for x in texts], out=offsets[1:])
+            data = np.frombuffer(b"".join(texts), np.uint8)
+            texts.clear()
+            for i, j in K.slices(offsets):
+                sets.update(zip(need[i:j], shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)))
+
+        out = []
+
+        def confirm(found: list[tuple]) -> None:
+            """Links among the pairs found, the nearest first; pairs of one component by then are no matter."""
+            gap, first, second = map(np.concatenate, zip(*found))
+            if need := sorted({*np.unique(first).tolist(), *np.unique(second).tolist()} - sets.keys()):
+                read(need)
+            for at in np.argsort(gap, kind="stable"):
+                k, m = int(first[at]), int(second[at])
+                p, q = find(root[k]), find(root[m])
+                if p != q:
+                    s, u = sets[k], sets[m]
+                    common = len(np.intersect1d(s, u, assume_unique=True))
+                    if 100 * common >= percent * (len(s) + len(u) - common):
+                        parent[q] = p
+                        out.append((node[k], node[m]))
+
+        found: list[tuple] = []
+        held, now = 0, root
         for k in range(len(node) - 1):
-            ok = (root[k + 1 :] != root[k]) & (100 * np.minimum(n[k + 1 :], n[k]) >= percent * np.maximum(n[k + 1 :], n[k]))
+            ok = (now[k + 1 :] != now[k]) & (100 * np.minimum(n[k + 1 :], n[k]) >= percent * np.maximum(n[k + 1 :], n[k]))
             if cross:
                 ok &= chunk[k + 1 :] != chunk[k]
             at = k + 1 + np.flatnonzero(ok)
@@ -268,37 +307,15 @@ def _bucket_links(width: int, percent: int):
             x |= x >> U(1)
             x |= x >> U(2)
             gap = np.bitwise_count(x & U(0x1111111111111111)).sum(axis=1)
-            near = gap <= DIFFERENT
-            pairs += zip(gap[near].tolist(), [k] * int(near.sum()), at[near].tolist())
-        if not pairs:
-            return []
-        pairs.sort()
-        need = sorted({x for _, *p in pairs for x in p})
-        body = t.column("body").take(pa.array(need)).to_pylist()
-        texts = [unpack.decompress(x) for x in body]
-        offsets = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum([len(x) for x in texts], out=offsets[1:])
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        sets: dict[int, np.ndarray] = {}
-        for i, j in K.slices(offsets):
-            sets.update(zip(need[i:j], shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)))
-        parent = list(range(len(code)))
-
-        def find(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        out = []
-        for _, k, m in pairs:
-            p, q = find(root[k]), find(root[m])
-            if p != q:
-                s, u = sets[k], sets[m]
-                common = len(np.intersect1d(s, u, assume_unique=True))
-                if 100 * common >= percent * (len(s) + len(u) - common):
-                    parent[q] = p
-                    out.append((node[k], node[m]))
+            near = np.flatnonzero(gap <= DIFFERENT)
+            if len(near):
+                found.append((gap[near].astype(np.uint8), np.full(len(near), k, np.int32), at[near].astype(np.int32)))
+                held += len(near)
+            if held >= PAIRS:
+                confirm(found)
+                found, held, now = [], 0, np.array([find(x) for x in range(len(code))])[root]
+        if found:
+            confirm(found)
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1018,6 +1018,47 @@ def test_quality_edges(spark):
     assert quality.assess(empty(spark), crf).count() == 0 and quality.keep_good(empty(spark), crf).count() == 0
 
 
+def test_bucket_candidates_are_bounded(monkeypatch):
+    """A bucket whose classes are nearly all candidates but rarely links: few pairs are held, links are those of brute force."""
+    import tracemalloc
+
+    import zstandard
+
+    monkeypatch.setattr(minhash, "PAIRS", 2000, raising=False)
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for d in range(500):
+        words = texts[-1].split() if texts and d % 25 == 0 else list(base)
+        for _ in range(8 if d % 25 else 1):
+            words[rng.randrange(60)] = f"x{d}.{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    data, offsets = kernels.utf8(pa.array(texts))
+    sets = minhash.shingle_sets(data, offsets, 1)
+    sig = minhash.superminhash(sets)
+    bands = minhash.band_keys(sig).view(np.int64)
+    bands[:, 0] = 7  # one bucket has them all
+    n = len(texts)
+    cols = {"bucket": [7] * n, "i": [0] * n, "j": [0] * n, "node": [b"%04d" % k for k in range(n)], "root": [b"%04d" % k for k in range(n)], "chunk": [0] * n, "n": [len(x) for x in sets]}
+    cols |= {"bands": bands.tolist(), "sketch": minhash.sketches(sig).view(np.int64).tolist(), "body": [zstandard.compress(x.encode()) for x in texts]}
+    batch = pa.RecordBatch.from_pydict(cols)
+    tracemalloc.start()
+    got = [(x["a"], x["b"]) for b in minhash._bucket_links(1, 80)(iter([batch])) for x in b.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    brute = [(a, b) for a in range(n) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))]
+
+    def groups(links):
+        root = list(range(n))
+        for a, b in links:
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+        return root
+
+    assert groups(brute) == groups([(int(a), int(b)) for a, b in got]) and 0 < len(got) < n - 1
+    assert peak < 6 << 20  # 10 MB with all pairs held as tuples
+
+
 # --- pipeline ---------------------------------------------------------------
 
 
