@@ -18,8 +18,11 @@ from ..functions.text import strip_py
 from ..session import Workspace, ship
 from ..sources.readers import corpus_files, numbered, read_records
 from ..sources.sinks import write_json
+from . import bpe
 
 MODEL_TYPES = ("bpe", "wordpiece", "unigram")
+#: Bytes of texts up to which the library's trainer reads them in the driver.
+SMALL = 1 << 25
 _SPACE = "▁"
 _LOADED: dict = {}
 
@@ -52,10 +55,22 @@ def create(model_type: str = "bpe", vocab_size: int = 65536, special_tokens=V.SP
 
 
 def train(texts: DataFrame, text: str = "text", model_type: str = "bpe", vocab_size: int = 65536, special_tokens=V.SPECIAL_TOKENS, max_samples: int | None = None):
-    """Train on a table's texts, streamed to the driver a partition at a time: all, or max_samples of them."""
+    """Train on a table's texts: all, or max_samples of them.
+
+    Of a byte-level model's texts above SMALL bytes only counts of distinct
+    words come to the driver (`bpe.learn`, which makes the same merges); other
+    texts are streamed there a partition at a time.
+    """
     t, trainer = create(model_type, vocab_size, special_tokens)
     rows = texts.select(F.col(text)).where(F.length(text) > 0)
     rows = rows.limit(max_samples) if max_samples else rows
+    if model_type == "bpe" and (rows.agg(F.sum(F.octet_length(text))).first()[0] or 0) > SMALL:
+        from tokenizers import models
+
+        vocab, merges = bpe.learn(rows, text, vocab_size, list(special_tokens))
+        t.model = models.BPE(vocab, merges, unk_token=V.UNKNOWN_TOKEN)
+        t.add_special_tokens(list(special_tokens))
+        return t
     t.train_from_iterator((r[0] for r in rows.toLocalIterator()), trainer=trainer)
     return t
 
