@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
 from ..functions import values as V
-from ..session import ship
+from ..session import Workspace, ship
 
 
 def problems(samples: DataFrame) -> DataFrame:
@@ -85,3 +85,20 @@ def pack(samples: DataFrame, capacity: int, *, allow_overlength: bool = False, s
         F.transform("x", lambda s: s.source_id).alias("source_ids"),
     )
     return packed, over
+
+
+def running_sums(rows: DataFrame, value: str, group: str, order: str, out: str) -> DataFrame:
+    """rows with the sum of value up to each row in the order of its group; rows of one place get the same sum.
+
+    Rows are cut into ranges of (group, order), so that a large group is many
+    tasks; a range adds what the ranges before it hold, of which one number a
+    range and group is kept.
+    """
+    ranges = rows.repartitionByRange(group, order).withColumn("__range", F.spark_partition_id())
+    ranges = Workspace(rows.sparkSession, "sums").save(ranges, "ranges")
+    totals = ranges.groupBy("__range", group).agg(F.sum(value).alias("__sum"))
+    before = F.sum("__sum").over(W.Window.partitionBy(group).orderBy("__range").rowsBetween(W.Window.unboundedPreceding, -1))
+    totals = totals.select(F.col("__range").alias("__at"), F.col(group).alias("__group"), F.coalesce(before, F.lit(0)).alias("__before"))
+    both = ranges.join(F.broadcast(totals), (F.col("__range") == F.col("__at")) & F.col(group).eqNullSafe(F.col("__group")))
+    own = F.sum(value).over(W.Window.partitionBy("__range", group).orderBy(order))
+    return both.withColumn(out, own + F.col("__before")).select(*rows.columns, out)

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 import random
 import re
 
@@ -544,3 +545,31 @@ def test_tokenizer_from_word_counts(spark, monkeypatch):
             m.setattr(type(df), "toLocalIterator", lambda self, *_, of=type(df).toLocalIterator: of(self) if self.columns != ["text"] else 1 / 0)
             got = tokens.train(df, vocab_size=size).to_str()
         assert json.loads(got) == json.loads(want)
+
+
+def test_running_sums_in_ranges(spark):
+    """A large group is summed in several ranges; rows of one place share their sum, a null group is a group."""
+    rows = [(k // 2 if g != "b" else k, g, 1 + k % 7) for g in ("a", "b", None) for k in range(300)]
+    df = spark.createDataFrame(rows, "at int, g string, n bigint").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = packing.running_sums(df, "n", "g", "at", "stop")
+        got = sorted(map(tuple, out.collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = sorted(((a, g, n, sum(x for b, h, x in rows if h == g and b <= a)) for a, g, n in rows), key=repr)
+    assert got == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__range" in plan and "hashpartitioning(g" not in plan.split("BroadcastExchange")[0]
+
+
+def test_offsets_move_no_texts(spark):
+    from siltworks.plans import queries
+
+    from . import oracle
+
+    if not os.path.isdir(oracle.DATA):
+        pytest.skip("no test tables here")
+    # texts are in no exchange: what is left to do reads numbers only
+    plan = queries.sequence_offsets(spark, oracle.DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "text#" not in plan
